@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder."""
@@ -22,10 +24,12 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="corvane-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        own = tempfile.mkdtemp(prefix="corvane-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _LOCAL_ROOTS[app] = f"file://{own}"
+    return _LOCAL_ROOTS[app]
 
 
 class Workspace:
