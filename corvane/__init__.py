@@ -1,3 +1,10 @@
 """Spark-native corpus construction, evaluation and training-data operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Executors need no installed copy: functions of this package travel with the tasks that call them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
