@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import format_copies, related_splits
+from corvane.llm import format_copies, near_duplicates, related_splits, split_overlap
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,27 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each distinct drawing with its number of copies."""
     return format_copies.collapse(_table(spark, sf_dir, "training_records"))
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alike records of which one trains and the other evaluates."""
+    return split_overlap.overlapping_pairs(_table(spark, sf_dir, "training_records"))
+
+
+@query
+def p3_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps with the training split by split and source."""
+    return split_overlap.overlap_counts(_table(spark, sf_dir, "training_records"))
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of alike records."""
+    return near_duplicates.record_pairs(_table(spark, sf_dir, "training_records"))
+
+
+@query
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class, the group and the number of links of each record."""
+    return near_duplicates.record_links(_table(spark, sf_dir, "training_records"))

@@ -1,0 +1,184 @@
+"""Self-join of binary fingerprints by Hamming distance over binary tries.
+
+The trie of a sorted array of fingerprints needs no pointers: a node is a range, its
+children are cut by the ones of one bit. Pairs of nodes are walked together, level by
+level; a pair collects the bits in which its sides differ and is dropped as soon as
+they exceed the budget of that depth. The budget grows with depth: records that are
+alike differ in few bits everywhere, and others are dropped near the root.
+
+For the cluster, the first levels are walked as a plan: one task joins the subtrees
+below two prefixes within budget. Prefixes with more fingerprints than ``CHUNK`` are
+cut into blocks by hash and all pairs of blocks become tasks, so no task holds more
+than two chunks however the bits are skewed.
+"""
+
+from __future__ import annotations
+
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corvane.llm.wordbag import WORDS
+
+#: Fingerprints of one side of a task, about.
+CHUNK = 200_000
+#: Node pairs walked at a time.
+FRONT = 1 << 20
+#: Differing bits allowed down to a depth.
+BUDGET = [(4, 1), (16, 2), (26, 3), (34, 4), (42, 5), (48, 6), (56, 8), (64, 9)]
+#: Differing bits allowed over all ``WORDS`` fingerprints.
+WHOLE_BUDGET = 60
+
+
+def allowed(depth: int) -> int:
+    """Differing bits allowed among the first ``depth``."""
+    return next(errors for to, errors in BUDGET if depth <= to)
+
+
+def _ones(sorted_words: np.ndarray, depth: int) -> np.ndarray:
+    bit = (sorted_words >> np.uint64(63 - depth)) & np.uint64(1)
+    return np.concatenate([[0], np.cumsum(bit, dtype=np.int32)]).astype(np.int32)
+
+
+def walk(a: np.ndarray, b: np.ndarray, same: bool):
+    """Blocks (i, j) of positions in the sorted ``a`` and ``b`` that stay within budget.
+
+    With ``same``, a is b and each unordered pair comes once, i before j.
+    """
+    stop = min(64, int(np.ceil(np.log2(max(len(a), len(b), 2)))) + 2)
+    cuts_a: dict[int, np.ndarray] = {}
+    cuts_b = cuts_a if same else {}
+    full = np.array([[0], [len(a)], [0], [len(b)]], np.int32)
+    stack = [(0, full, np.zeros(1, np.int8))]
+    while stack:
+        depth, front, errors = stack.pop()
+        if front.shape[1] > FRONT:
+            half = front.shape[1] // 2
+            stack += [(depth, front[:, half:], errors[half:]), (depth, front[:, :half], errors[:half])]
+            continue
+        if depth == stop:
+            yield from _leaves(a, b, front, same, depth)
+            continue
+        if depth not in cuts_a:
+            cuts_a[depth] = _ones(a, depth)
+        if depth not in cuts_b:
+            cuts_b[depth] = _ones(b, depth)
+        ca, cb, limit = cuts_a[depth], cuts_b[depth], allowed(depth + 1)
+        alo, ahi, blo, bhi = front
+        amid, bmid = ahi - (ca[ahi] - ca[alo]), bhi - (cb[bhi] - cb[blo])
+        twin = (alo == blo) if same else None
+        parts, counts = [], []
+        for x, y in ((0, 0), (1, 1), (0, 1), (1, 0)):
+            lo, hi = (alo, amid) if x == 0 else (amid, ahi)
+            low, high = (blo, bmid) if y == 0 else (bmid, bhi)
+            keep = (lo < hi) & (low < high)
+            if x != y:
+                keep &= errors < limit
+                if same and x:
+                    keep &= ~twin
+            at = np.nonzero(keep)[0]
+            if len(at):
+                parts.append(np.stack([lo[at], hi[at], low[at], high[at]]))
+                counts.append(errors[at] + np.int8(x != y))
+        if parts:
+            stack.append((depth + 1, np.concatenate(parts, axis=1), np.concatenate(counts)))
+
+
+def _leaves(a, b, front, same, depth):
+    """Pairs of fingerprints below pairs of deep nodes, held against the rest of the budget."""
+    alo, ahi, blo, bhi = front.astype(np.int64)
+    sizes = (ahi - alo) * (bhi - blo)
+    at = 0
+    while at < len(sizes):
+        upto = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 4 * FRONT, side="right")) + at)
+        for lo in range(0, int(sizes[at]) if upto == at + 1 else 1, 8 * FRONT):  # one huge pair of nodes goes in slices
+            part = sizes[at:upto]
+            owner = np.repeat(np.arange(at, upto), part) if upto > at + 1 else None
+            if owner is None:
+                nth = np.arange(lo, min(int(sizes[at]), lo + 8 * FRONT))
+                owner = np.full(len(nth), at)
+            else:
+                nth = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
+            width = bhi[owner] - blo[owner]
+            i, j = alo[owner] + nth // width, blo[owner] + nth % width
+            if same:
+                keep = (alo[owner] != blo[owner]) | (i < j)
+                i, j = i[keep], j[keep]
+            differ = a[i] ^ b[j]
+            for to, errors in BUDGET:
+                if to > depth or to == 64:
+                    keep = np.bitwise_count(differ >> np.uint64(64 - to)) <= errors
+                    i, j, differ = i[keep], j[keep], differ[keep]
+            if len(i):
+                yield i, j
+        at = upto
+
+
+_PAIRS = "a1 long, a2 long, b1 long, b2 long"
+
+
+def _join_task(table: pa.Table) -> pa.Table:
+    """All pairs of one task within both budgets, the smaller key first."""
+    def col(name):
+        return table.column(name).to_numpy()
+
+    word, side = col("w"), col("side")
+    keys, prints = np.stack([col("k1"), col("k2")]), np.stack([col(f"f{k}") for k in range(WORDS)]).view(np.uint64)
+    main = prints[int(word[0])]
+    left = np.nonzero(side == 0)[0]
+    left = left[np.argsort(main[left], kind="stable")]
+    right = np.nonzero(side == 1)[0]
+    right = right[np.argsort(main[right], kind="stable")]
+    same = int(table.column("self")[0].as_py()) == 1
+    found = []
+    if same or len(right):
+        for i, j in walk(main[left], main[left if same else right], same):
+            i, j = left[i], (left if same else right)[j]
+            far = np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int32)
+            near = far <= WHOLE_BUDGET
+            i, j = i[near], j[near]
+            swap = (keys[0, i] > keys[0, j]) | ((keys[0, i] == keys[0, j]) & (keys[1, i] > keys[1, j]))
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            found.append(np.concatenate([keys[:, i], keys[:, j]]))
+    rows = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+    return pa.table({name: pa.array(rows[k]) for k, name in enumerate(("a1", "a2", "b1", "b2"))})
+
+
+def plan(counts: dict[tuple[int, int], int], depth: int) -> list[tuple[int, int, int, int, int, int, int]]:
+    """Rows (word, prefix, block, blocks, task, side, self) for the subtree sizes in ``counts``."""
+    blocks = {at: -(-n // CHUNK) for at, n in counts.items()}
+    masks = [sum(1 << bit for bit in bits) for k in range(allowed(depth) + 1) for bits in combinations(range(depth), k)]
+    rows, task = [], 0
+    for (word, p), nb in sorted(blocks.items()):
+        for mask in masks:
+            q = p ^ mask
+            other = blocks.get((word, q))
+            if other is None or q < p:
+                continue
+            for x in range(nb):
+                for y in range(x if p == q else 0, other):
+                    alone = int(p == q and x == y)
+                    rows.append((word, p, x, nb, task, 0, alone))
+                    if not alone:
+                        rows.append((word, q, y, other, task, 1, alone))
+                    task += 1
+    return rows
+
+
+def candidates(classes: DataFrame, total: int) -> DataFrame:
+    """``a1, a2, b1, b2``: distinct pairs of keys of ``classes`` (``k1, k2, f0..f3``) within budget."""
+    spark = classes.sparkSession
+    depth = max(3, int(np.ceil(np.log2(max(1, total / CHUNK)))) + 1)
+    words = classes.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("w"), F.col(f"f{k}").alias("f")) for k in range(WORDS)])).alias("x"))
+    words = words.select("k1", "k2", *[f"f{k}" for k in range(WORDS)], F.col("x.w").alias("w"), F.expr(f"shiftrightunsigned(x.f, {64 - depth})").alias("p"))
+    held = {(r["w"], r["p"]): r["n"] for r in words.groupBy("w", "p").agg(F.count(F.lit(1)).alias("n")).collect()}  # WORDS * 2^depth rows
+    rows = plan(held, depth)
+    if not rows:
+        return spark.createDataFrame([], _PAIRS)
+    tasks = spark.createDataFrame(rows, "w int, p long, block long, blocks long, task int, side int, self int")
+    placed = words.join(F.broadcast(tasks), ["w", "p"]).filter(F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")) == F.col("block"))
+    grouped = placed.select("task", "w", "side", "self", "k1", "k2", *[f"f{k}" for k in range(WORDS)]).groupBy("task")
+    return grouped.applyInArrow(lambda t: _join_task(t), _PAIRS).distinct()
