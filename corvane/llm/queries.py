@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import format_copies, near_duplicates, related_splits, split_overlap
+from corvane.llm import format_copies, near_duplicates, pair_defects, related_splits, split_overlap
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +75,9 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class, the group and the number of links of each record."""
     return near_duplicates.record_links(_table(spark, sf_dir, "training_records"))
+
+
+@query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose response does not serve the prompt, with the defect."""
+    return pair_defects.defects(_table(spark, sf_dir, "training_records"))
