@@ -12,8 +12,8 @@ from corvane.workspace import Workspace
 
 #: Least share of common words, in both texts.
 THRESHOLD = 0.8
-#: Differing bits of the first fingerprint beyond which a band's match is chance.
-SKETCH_BUDGET = 20
+#: Differing bits of the first two fingerprints beyond which a band's match is chance.
+SKETCH_BUDGET = 28
 
 
 def _matches(records: DataFrame, workspace: Workspace, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -23,20 +23,19 @@ def _matches(records: DataFrame, workspace: Workspace, threshold: float) -> tupl
     order ignored) hash alike. A pair ``a1, a2, b1, b2`` has its evaluation class
     first; the two sides of one class match without a row of their own.
     """
-    placed = records.select("id", "prompt", "svg", split_name(F.col("split")).alias("split")).filter("split IS NOT NULL")
-    sketched = wordbag.bags(placed.filter("split = 'train'"), bands=True).withColumn("trains", F.lit(True))
-    sketched = sketched.unionByName(wordbag.bags(placed.filter("split <> 'train'"), bands=True).withColumn("trains", F.lit(False)))
-    rows = workspace.save(sketched, "bands")
+    placed = records.select("id", "prompt", "svg", (split_name(F.col("split")) == "train").alias("trains")).filter("trains IS NOT NULL")
+    rows = workspace.save(wordbag.bags(placed, bands=True, flag="trains"), "bands")
     classes = rows.groupBy("k1", "k2").agg(
-        F.count_if("trains").alias("n_train"), F.count_if(~F.col("trains")).alias("n_eval"), F.first("f0").alias("f0"), F.first("bands").alias("bands")
+        F.count_if("trains").alias("n_train"), F.count_if(~F.col("trains")).alias("n_eval"), F.first("f0").alias("f0"), F.first("f1").alias("f1"), F.first("bands").alias("bands")
     )
     classes = workspace.save(classes, "classes")
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("k1").alias(f"{name}1"), F.col("k2").alias(f"{name}2"), F.col("f0").alias(f"f{name}"), F.explode("bands").alias("band"))
+        return df.select(F.col("k1").alias(f"{name}1"), F.col("k2").alias(f"{name}2"), F.col("f0").alias(f"f{name}"), F.col("f1").alias(f"g{name}"), F.explode("bands").alias("band"))
 
     met = side(classes.filter("n_eval > 0"), "a").join(side(classes.filter("n_train > 0"), "b"), "band")
-    met = met.filter((F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= SKETCH_BUDGET) & ~((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))))
+    apart = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) + F.bit_count(F.col("ga").bitwiseXOR(F.col("gb")))
+    met = met.filter((apart <= SKETCH_BUDGET) & ~((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))))
     near = workspace.save(met.select("a1", "a2", "b1", "b2").distinct(), "candidates")
     return rows, classes, workspace.save(wordbag.verified(near, rows, threshold, workspace), "pairs")
 

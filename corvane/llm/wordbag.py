@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 #: 64-bit fingerprints of a record, each from hashes of its own.
 WORDS = 4
 #: Minima hashed together to one band, for joins by equal hash.
-BAND_ROWS = 7
+BAND_ROWS = 8
 BANDS = WORDS * 64 // BAND_ROWS
 #: Records worked on at a time.
 STEP = 1500
@@ -65,10 +65,10 @@ def _minima(tokens: np.ndarray, record: np.ndarray, records: int, seed: int) ->
     return out
 
 
-def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes, bands: bool) -> list[pa.Array]:
-    """Columns of ``SCHEMA`` (and the bands) for records whose two texts both have words."""
+def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes, bands: bool) -> tuple[list[int], list[pa.Array]]:
+    """Rows whose two texts both have words; their columns of ``SCHEMA`` (and the bands)."""
     kept, hs, cs, lens = [], [], [], []
-    for key, prompt, svg in zip(ids, prompts, svgs, strict=True):
+    for key, (prompt, svg) in enumerate(zip(prompts, svgs, strict=True)):
         p, s = Counter(_WORD.findall(prompt.lower())), Counter(_WORD.findall(svg.lower()))
         if not p or not s:
             continue
@@ -94,7 +94,7 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
         tokens = mix(np.repeat(sided, c) + nth.astype(np.uint64) * _GOLD)
     where = np.repeat(record, c)
     minima = [_minima(tokens, where, n, seed) for seed in range(WORDS)]
-    columns = [pa.array(kept, pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))]
+    columns = [pa.array([ids[k] for k in kept], pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))]
     for m in minima:
         bits = np.packbits((mix(m) & np.uint64(1)).astype(np.uint8), axis=1)
         columns.append(pa.array(bits.view(">u8").astype(np.int64).ravel() if n else np.zeros(0, np.int64)))
@@ -115,26 +115,33 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
             for r in range(BAND_ROWS):
                 out = mix(out * _GOLD + rows[:, :, r])
         columns.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(out.ravel().view(np.int64))))
-    return columns
+    return kept, columns
 
 
-def bags(records: DataFrame, bands: bool = False) -> DataFrame:
+def bags(records: DataFrame, bands: bool = False, flag: str | None = None) -> DataFrame:
     """``SCHEMA`` of every record with SVG markup in ``svg`` and words in ``prompt``.
 
+    ``bands`` adds an array of band hashes, ``flag`` names a boolean column to keep.
+
     ``k1, k2`` are equal for records with the same two multisets. Null and wordless
     texts are alike to nothing and left out; whole texts are read.
     """
 
+    names = ["id", "k1", "k2", "f0", "f1", "f2", "f3", "bag", *["bands"] * bands, *[flag] * bool(flag)]
+    schema = SCHEMA + ", bands array<long>" * bands + (f", {flag} boolean" if flag else "")
+
     def run(batches):
         hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                columns = sketch(*(part.column(k).to_pylist() for k in range(3)), hashes, bands)
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "k1", "k2", "f0", "f1", "f2", "f3", "bag", *["bands"] * bands])
+                kept, columns = sketch(*(part.column(k).to_pylist() for k in range(3)), hashes, bands)
+                if flag:
+                    columns.append(part.column(3).take(pa.array(kept, pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     marked = records.filter(F.col("svg").rlike("(?i)<\\s*svg") & F.col("prompt").isNotNull())
-    return marked.select("id", "prompt", "svg").mapInArrow(run, SCHEMA + ", bands array<long>" * bands)
+    return marked.select("id", "prompt", "svg", *[flag] * bool(flag)).mapInArrow(run, schema)
 
 
 def _part(bag: bytes, at: int) -> tuple[np.ndarray, np.ndarray, int]:
