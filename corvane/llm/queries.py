@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import format_copies, near_duplicates, pair_defects, related_splits, split_overlap
+from corvane.llm import format_copies, mixing, near_duplicates, packing, pair_defects, related_splits, split_overlap, subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,42 @@ def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose response does not serve the prompt, with the defect."""
     return pair_defects.defects(_table(spark, sf_dir, "training_records"))
+
+
+@query
+def p6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which piece of which document lies in which context, for each profile."""
+    return packing.pack(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "container_sizes"))
+
+
+@query
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the contexts of each profile are."""
+    containers = _table(spark, sf_dir, "container_sizes")
+    return packing.fill_report(packing.pack(_table(spark, sf_dir, "documents"), containers), containers)
+
+
+@query
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is used."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "source_targets"))[0]
+
+
+@query
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of all tokens that each source reaches."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "source_targets"))[1]
+
+
+@query
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each of its subjects."""
+    found = subjects.document_subjects(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "subject_examples"))
+    return found.select("doc_id", "subject")
+
+
+@query
+def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and weight of each subject in the corpus."""
+    found = subjects.document_subjects(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "subject_examples"))
+    return found.groupBy("subject").agg(F.count(F.lit(1)).alias("documents"), F.round(F.sum("part"), 3).alias("weight"))
