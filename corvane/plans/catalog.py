@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import importlib
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 FLAGSHIP = "corpus_flagship"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with the SQL that must give the same rows."""
+
+    def register(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE[function.__name__] = sql
+        return function
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+for _part in ("candidates", "evaluation", "diagrams", "sessions", "sources", "markup"):
+    importlib.import_module(f"corvane.plans.{_part}")
