@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.scalars import hex_hamming
+from corvane.workspace import Workspace
 
 
 def near_pairs(hashes: DataFrame, key: str, digest: Column, budget: int, digits: int = 16) -> DataFrame:
@@ -33,24 +31,25 @@ def near_pairs(hashes: DataFrame, key: str, digest: Column, budget: int, digits:
 def greedy_representatives(hashes: DataFrame, key: str, digest: Column, budget: int) -> DataFrame:
     """``id, representative``: each row with the first earlier representative within budget, in order of ``key``.
 
-    The greedy rule is order dependent, so only distinct digests, each with its first
-    key, are folded in one task; their number is bounded by the images of one render
-    batch, not by the corpus. All rows then meet their digest's representative by join.
+    A digest becomes a representative if no earlier one within budget is one. That is
+    settled in rounds over the near pairs: a digest with an earlier representative
+    is none, one whose earlier neighbours are all none becomes one. The rows of a
+    digest meet its representative by join; nothing is gathered in one task.
     """
+    workspace = Workspace(hashes.sparkSession, "greedy")
     rows = hashes.select(F.col(key).alias("id"), digest.alias("d")).filter(F.col("d").isNotNull())
-    firsts = rows.groupBy("d").agg(F.min("id").alias("first"))
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chosen: list[tuple[str, int]] = []
-        table = pd.concat(list(batches), ignore_index=True)
-        out = []
-        for first, d in sorted(zip(table["first"], table["d"], strict=True)):
-            hit = next((i for r, i in chosen if sum(x != y for x, y in zip(r, d, strict=False)) <= budget), None)
-            if hit is None:
-                chosen.append((d, first))
-                hit = first
-            out.append((d, hit))
-        yield pd.DataFrame(out, columns=["d", "representative"])
-
-    reps = firsts.coalesce(1).mapInPandas(fold, "d string, representative long")
+    firsts = workspace.save(rows.groupBy("d").agg(F.min("id").alias("first")), "firsts")
+    pairs = near_pairs(firsts, "first", F.col("d"), budget)
+    earlier = workspace.save(pairs.select(F.col("id_a").alias("before"), F.col("id_b").alias("first")), "earlier")
+    state = workspace.save(firsts.select("first").join(earlier.select("first").distinct(), "first", "left_anti").withColumn("chosen", F.lit(True)), "state")
+    open_ = workspace.save(firsts.select("first").join(state, "first", "left_anti"), "open")
+    while open_.take(1):
+        seen = open_.join(earlier, "first").join(state.withColumnRenamed("first", "before"), "before", "left")
+        verdict = seen.groupBy("first").agg(F.bool_or(F.coalesce("chosen", F.lit(False))).alias("taken"), F.bool_or(F.col("chosen").isNull()).alias("waits"))
+        settled = verdict.filter("taken OR NOT waits").select("first", (~F.col("taken")).alias("chosen"))
+        state = workspace.save(state.unionByName(settled), "state")
+        open_ = workspace.save(open_.join(state, "first", "left_anti"), "open")
+    chosen = state.filter("chosen").select(F.col("first").alias("before"))
+    near = earlier.join(chosen, "before").groupBy("first").agg(F.min("before").alias("near"))
+    reps = firsts.join(state, "first").join(near, "first", "left").select("d", F.when(F.col("chosen"), F.col("first")).otherwise(F.col("near")).alias("representative"))
     return rows.join(reps, "d").select("id", "representative")

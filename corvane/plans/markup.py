@@ -1 +1,62 @@
-"""Queries."""
+"""Queries that run drawing and document kernels over training records."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvane.operators import markup as M
+from corvane.plans.catalog import query, table
+
+
+def _records(spark, sf_dir):
+    return table(spark, sf_dir, "training_records")
+
+
+@query()
+def svg_validate(spark, sf_dir):
+    return M.checked(_records(spark, sf_dir))
+
+
+@query()
+def svg_normalize(spark, sf_dir):
+    return M.normalized(_records(spark, sf_dir)).select("id", F.length("svg").alias("chars"), "digest")
+
+
+@query()
+def svg_primitives(spark, sf_dir):
+    return M.primitive_rows(_records(spark, sf_dir))
+
+
+@query()
+def ir_quality(spark, sf_dir):
+    return M.assessed(_records(spark, sf_dir))
+
+
+@query()
+def ir_compile(spark, sf_dir):
+    return M.drawn(_records(spark, sf_dir))
+
+
+@query()
+def ir_label(spark, sf_dir):
+    return M.labelled(_records(spark, sf_dir))
+
+
+@query()
+def ir_canonicalize(spark, sf_dir):
+    return M.canonical(_records(spark, sf_dir), 8, 8)
+
+
+@query()
+def ir_contract(spark, sf_dir):
+    return M.contracts(_records(spark, sf_dir))
+
+
+@query()
+def quality_gate(spark, sf_dir):
+    return M.gate(_records(spark, sf_dir))
+
+
+@query()
+def diagnose_records(spark, sf_dir):
+    return M.diagnosed(_records(spark, sf_dir))
