@@ -1 +1,64 @@
-"""Queries."""
+"""Queries over generated and derived source formats."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvane.operators import training as R
+from corvane.plans.catalog import query, table
+from corvane.sources import synthetic
+from corvane.sources import text as X
+
+
+@query()
+def synthetic_records(spark, sf_dir):
+    """As many generated records as there are manifests, times forty."""
+    return synthetic.records(spark, 40 * table(spark, sf_dir, "dataset_manifests").count())
+
+
+@query("""WITH s AS (SELECT * FROM (VALUES ('pair',['Draw A and B.','Show A to B.']),('chain',['Draw A, B and C.','Show a chain.','Chain A to C.'])) t(spec, prompts)), c AS (SELECT *, unnest(generate_series(0,6)) AS copy FROM s)
+ SELECT spec, copy::INT AS copy, CASE WHEN copy>=len(prompts) THEN prompts[copy%len(prompts)+1] || ' Variant ' || (copy+1) || '.' ELSE prompts[copy%len(prompts)+1] END AS prompt FROM c""")
+def strict_seed(spark, sf_dir):
+    return synthetic.seeded(spark, [("pair", ["Draw A and B.", "Show A to B."]), ("chain", ["Draw A, B and C.", "Show a chain.", "Chain A to C."])], 7)
+
+
+@query("SELECT urlkey, capture_time AS timestamp, url, coalesce(mime,'') AS mime FROM crawl_index")
+def cdxj_parse(spark, sf_dir):
+    """Captures written as index lines and read back."""
+    lines = table(spark, sf_dir, "crawl_index").select(F.concat_ws(" ", "urlkey", "capture_time", F.to_json(F.struct("url", "mime", "status", "digest"))).alias("value"))
+    return X.index_lines(lines).select("urlkey", "timestamp", X.index_field("url").alias("url"), X.index_field("mime", "content_mime_type").alias("mime"))
+
+
+@query("""SELECT p_name || '.svg' AS name, CAST(floor(p_retailprice) AS BIGINT) AS size, CAST(p_size AS BIGINT) AS width, 10::BIGINT AS height FROM part""")
+def insert_tuples(spark, sf_dir):
+    """Parts written as INSERT statements of two rows, one of them no SVG, and read back."""
+    q = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
+    row = F.concat(F.lit("("), F.concat_ws(",", q(F.concat("p_name", F.lit(".svg"))), q(F.floor("p_retailprice").cast("string")), F.col("p_size").cast("string"), F.lit("10"), F.lit("0"), F.lit("0"), F.lit("'DRAWING'"), F.lit("'image'"), F.lit("'svg+xml'"), F.lit("0"), F.lit("NULL"), F.lit("'20240101000000'"), q(F.md5("p_name"))), F.lit(")"))
+    other = F.lit("('it\\'s (a), photo.jpg','9','9','9',0,0,'BITMAP','image','jpeg',0,0,'20240101000000','x')")
+    lines = table(spark, sf_dir, "part").select(F.concat(F.lit("INSERT INTO `image` VALUES "), row, F.lit(","), other, F.lit(";")).alias("value"))
+    return X.svg_dump_rows(X.dump_rows(lines)).select("name", "size", "width", "height")
+
+
+@query("""SELECT candidate_id, CASE WHEN coalesce(caption,'')<>'' THEN caption ELSE 'Draw a technical SVG diagram matching ' || coalesce(nullif(title,''), nullif(metadata->>'$.filename',''), candidate_id) || '.' END AS prompt FROM corpus_candidates""")
+def candidate_prompts(spark, sf_dir):
+    return table(spark, sf_dir, "corpus_candidates").select("candidate_id", R.prompt_for().alias("prompt"))
+
+
+@query("""SELECT id, md5(coalesce(prompt,'') || chr(10) || chr(10) || coalesce(nullif(diagram_ir,''),nullif(svg,''),'')) AS digest FROM training_records""")
+def training_texts(spark, sf_dir):
+    return table(spark, sf_dir, "training_records").select("id", F.md5(R.training_text()).alias("digest"))
+
+
+@query()
+def train_token_rows(spark, sf_dir):
+    """Words as tokens, prompts masked, rows over five hundred words dropped."""
+
+    def words(texts):
+        return [[len(w) for w in t.split()] for t in texts]
+
+    return R.token_rows(table(spark, sf_dir, "training_records"), words, 500).select("id", "length", F.size(F.filter("labels", lambda x: x == R.MASK)).alias("masked"))
+
+
+@query("""SELECT candidate_id, concat_ws('; ', nullif(split_part(uri,'/',-1),''), nullif(coalesce(metadata->>'$.mime_type', metadata->>'$.mime',''),'')) AS line FROM corpus_candidates WHERE uri<>''""")
+def media_summary(spark, sf_dir):
+    return table(spark, sf_dir, "corpus_candidates").filter("uri <> ''").select("candidate_id", R.media_line(F.col("uri"), F.coalesce("metadata", F.lit("{}"))).alias("line"))
