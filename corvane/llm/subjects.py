@@ -30,7 +30,7 @@ ALL = len(LANGUAGES) * TERMS
 LEVELS = 6
 LEAST_PART = 0.012
 #: Terms in more than this part of a language's documents tell nothing.
-COMMON = 0.15
+COMMON = 0.5
 #: Passes over all documents for each level.
 PASSES = 2
 #: Documents that the first centres of a split are drawn from; they only start the passes.
@@ -39,10 +39,9 @@ SEEDS = 4000
 SHARE = 0.2
 #: Passes that fit the terms' weights to the subjects of the documents they are in.
 SHARPEN = 2
-#: Least lead of a sentence's first subject over the second by leaf weights.
-LEAD = 0.6
-#: Log weight that chance alone may give a term, and the weight of labelled examples beside the leaves.
-LEAN = 0.6
+#: Log weight that chance alone may give a term, and least lead of a sentence's first subject, both as a part of the log of the number of subjects.
+LEAN = LEAD = 0.26
+#: Weight of labelled examples beside the leaves.
 LABELLED = 3.0
 
 _SENTENCE = re.compile(r"(?<=[.!?])[\s\"')\]]+|\n+|(?<=[.!?])(?=[A-ZÀ-Þ])")
@@ -283,9 +282,10 @@ def _score(parts: list[list[int]], weights: np.ndarray, prior: np.ndarray) -> np
 
 def _first_guess(parts: list[list[int]], weights: np.ndarray) -> np.ndarray:
     """Subject of each sentence by leaf weights, the number of subjects for none."""
-    score = _score(parts, np.maximum(weights - LEAN, 0), np.zeros(weights.shape[1], np.float32))
-    order = np.sort(score, axis=1)
-    sure = (order[:, -1] > LEAD) & (order[:, -1] - order[:, -2] > LEAD)
+    scale = np.log(max(2, weights.shape[1]))
+    score = _score(parts, np.maximum(weights - LEAN * scale, 0), np.zeros(weights.shape[1], np.float32))
+    order = np.sort(np.concatenate([score, np.zeros((len(score), 1), np.float32)], axis=1), axis=1)
+    sure = order[:, -1] - order[:, -2] > LEAD * scale
     return np.where(sure, score.argmax(axis=1), weights.shape[1])
 
 
