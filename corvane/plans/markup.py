@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corvane.functions.splits import first_by
+from corvane.operators import candidates as C
 from corvane.operators import markup as M
+from corvane.operators import requests as Q
 from corvane.plans.catalog import query, table
 
 
@@ -60,3 +63,24 @@ def quality_gate(spark, sf_dir):
 @query()
 def diagnose_records(spark, sf_dir):
     return M.diagnosed(_records(spark, sf_dir))
+
+
+@query()
+def repair_outputs(spark, sf_dir):
+    """Responses as model outputs: markup, documents and refusals, repaired where that is possible."""
+    outputs = _records(spark, sf_dir).select("id", F.coalesce(F.nullif("svg", F.lit("")), "diagram_ir").alias("text"))
+    return Q.repaired_outputs(outputs)
+
+
+@query("""SELECT 'uploads/' || sha256(svg) || '.svg' AS object_key, octet_length(encode(svg))::INT AS bytes FROM training_records WHERE trim(coalesce(svg,''))<>''""")
+def upload_keys(spark, sf_dir):
+    return Q.uploads(_records(spark, sf_dir))
+
+
+@query()
+def normalized_records(spark, sf_dir):
+    """Training records made of fetched candidates and the drawings that share their id."""
+    rows = C.coerced(table(spark, sf_dir, "corpus_candidates"))
+    latest = first_by(rows, ["candidate_id"], [F.col(c).desc() for c in C.ARRIVAL])
+    assets = _records(spark, sf_dir).select(F.col("id").alias("candidate_id"), "svg")
+    return Q.training_records(latest, assets)
