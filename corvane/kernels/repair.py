@@ -46,7 +46,7 @@ def from_graph(payload: dict) -> str | None:
         label = _first(node, "label") or str(node.get("id") or f"node {k}")
         parts.append((_slug(str(node.get("id") or label), f"node-{k}"), label))
     links = [(_slug(_first(e, "source"), ""), _slug(_first(e, "target"), ""), "") for e in edges]
-    return _drawn(parts, links, str(payload.get("title") or "svgen"), "graph_json")
+    return _drawn(parts, links, str(payload.get("title") or "diagram"), "graph_json")
 
 
 def from_fragments(text: str) -> str | None:
@@ -56,7 +56,7 @@ def from_fragments(text: str) -> str | None:
         parts = [(_slug(x, f"node-{k}"), x) for k, x in enumerate(re.findall(r'"label"\s*:\s*"([^"]+)"', text), 1) if not x.startswith("edge-")]
     links = [(_slug(a, ""), _slug(b, ""), "") for a, b in re.findall(r'"source"\s*:\s*"([^"]+)"[^{}]*?"target"\s*:\s*"([^"]+)"', text)]
     title = re.search(r'"title"\s*:\s*"([^"]+)"', text)
-    return _drawn(parts, links, title.group(1) if title else "svgen", "loose_model_ir")
+    return _drawn(parts, links, title.group(1) if title else "diagram", "loose_model_ir")
 
 
 def from_outline(text: str) -> str | None:
@@ -79,7 +79,7 @@ def from_outline(text: str) -> str | None:
             elif section == "entities" and (plain := re.sub(r"\s*\([^)]*\)\s*", "", item).strip()) and plain not in labels:
                 labels.append(plain)
     names = {label: _slug(label, f"node-{k}") for k, label in enumerate(labels[:MOST], 1)}
-    return _drawn([(v, k) for k, v in names.items()], [(names.get(a, ""), names.get(b, ""), "") for a, b in links], "svgen", "text_ir", direction)
+    return _drawn([(v, k) for k, v in names.items()], [(names.get(a, ""), names.get(b, ""), "") for a, b in links], "diagram", "text_ir", direction)
 
 
 def repaired(text: str, loose: bool = True) -> tuple[str | None, str]:
