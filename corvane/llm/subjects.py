@@ -60,33 +60,58 @@ class Terms(dict):
 
 
 def sentences(text: str, terms: Terms) -> list[list[int]]:
-    """The places, below ``ALL``, of the distinct words of each sentence that has words."""
-    out, first = [], LANGUAGES.index(language_of(text)) * TERMS
+    """The places of the distinct words of each sentence that has words."""
+    out = []
     for sentence in _SENTENCE.split(_MARKUP.sub(" ", text)):
         words = set(_WORD.findall(sentence.lower()))
         if words:
-            out.append([first + terms[w] for w in words])
+            out.append([terms[w] for w in words])
     return out
 
 
 def vectors(documents: DataFrame) -> DataFrame:
-    """``doc_id, places, counts, lang``: the terms of each document that has words."""
+    """``doc_id, places, counts, lang, words, sizes`` of each document that has words.
+
+    The only pass over the texts: terms with their counts, and the sentences, as the
+    distinct terms of all of them in a row and the number of terms of each.
+    """
 
     def run(batches):
         terms = Terms()
         for batch in batches:
-            ids, langs, places, counts = [], [], [], []
+            ids, langs, places, counts, words, sizes = [], [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = [terms[w] for w in _WORD.findall(_MARKUP.sub(" ", text).lower())]
                 if found:
                     distinct, n = np.unique(np.array(found, np.int32), return_counts=True)
+                    parts = sentences(text, terms)
                     ids.append(key)
                     langs.append(LANGUAGES.index(language_of(text)))
                     places.append(distinct)
                     counts.append(n.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(langs, pa.int32())], names=["doc_id", "places", "counts", "lang"])
+                    words.append([t for p in parts for t in p])
+                    sizes.append([len(p) for p in parts])
+            lists = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, lists), pa.array(counts, lists), pa.array(langs, pa.int32()), pa.array(words, lists), pa.array(sizes, lists)], names=["doc_id", "places", "counts", "lang", "words", "sizes"])
+
+    schema = "doc_id long, places array<int>, counts array<int>, lang int, words array<int>, sizes array<int>"
+    return documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, schema)
 
-    return documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, places array<int>, counts array<int>, lang int")
+
+class Sentences:
+    """The sentences of a batch of ``words, sizes, lang``: places below ``ALL`` in a row, their sizes, documents and languages."""
+
+    def __init__(self, words, sizes, lang):
+        self.size = sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.owner = np.repeat(np.arange(len(sizes)), np.diff(sizes.offsets.to_numpy()))
+        self.lang = lang.to_numpy().astype(np.int64)[self.owner]
+        flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.flat = flat + np.repeat(self.lang, self.size) * TERMS
+
+    def score(self, weights: np.ndarray, prior) -> np.ndarray:
+        if not len(self.size):
+            return np.zeros((0, weights.shape[1]), np.float32)
+        return np.add.reduceat(weights[self.flat], np.cumsum(self.size) - self.size, axis=0) + prior
 
 
 def _flat(batch, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -273,25 +298,18 @@ def term_weights(presence: np.ndarray, sizes: np.ndarray, affinity: np.ndarray,
     return np.log(share[:-1] * (len(share) - 1)).astype(np.float32)
 
 
-def _score(parts: list[list[int]], weights: np.ndarray, prior: np.ndarray) -> np.ndarray:
-    size = np.array([len(p) for p in parts])
-    flat = np.fromiter((t for p in parts for t in p), np.int64, size.sum())
-    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
-    return np.add.reduceat(weights[flat], starts, axis=0) + prior
-
-
-def _first_guess(parts: list[list[int]], weights: np.ndarray) -> np.ndarray:
+def _first_guess(parts: Sentences, weights: np.ndarray) -> np.ndarray:
     """Subject of each sentence by leaf weights, the number of subjects for none."""
     scale = np.log(max(2, weights.shape[1]))
-    score = _score(parts, np.maximum(weights - LEAN * scale, 0), np.zeros(weights.shape[1], np.float32))
+    score = parts.score(np.maximum(weights - LEAN * scale, 0), 0)
     order = np.sort(np.concatenate([score, np.zeros((len(score), 1), np.float32)], axis=1), axis=1)
     sure = order[:, -1] - order[:, -2] > LEAD * scale
     return np.where(sure, score.argmax(axis=1), weights.shape[1])
 
 
-def _totals(documents: DataFrame, run, rows: int) -> np.ndarray:
-    """Sums by (row, term) of what ``run`` yields for the texts; the last columns count sentences by language."""
-    summed = documents.filter("text IS NOT NULL").select("text").mapInArrow(run, "at long, n double").groupBy("at").agg(F.sum("n").alias("n"))
+def _totals(docs: DataFrame, run, rows: int) -> np.ndarray:
+    """Sums by (row, term) of what ``run`` yields for the sentences; the last columns count sentences by language."""
+    summed = docs.select("words", "sizes", "lang").mapInArrow(run, "at long, n double").groupBy("at").agg(F.sum("n").alias("n"))
     table = summed.toArrow()  # rows times terms, whatever the data
     out = np.zeros(rows * (ALL + len(LANGUAGES)), np.float64)
     out[table.column("at").to_numpy()] = table.column("n").to_numpy()
@@ -303,31 +321,25 @@ def _sparse(counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held].astype(np.float64))], names=["at", "n"])
 
 
-def _by_document(documents: DataFrame, shared, kinds: int) -> np.ndarray:
+def _by_document(docs: DataFrame, shared, kinds: int) -> np.ndarray:
     """Terms by subject of the documents they are in: a stock phrase spreads over all subjects."""
 
     def run(batches):
-        terms, weights = Terms(), shared.value
+        weights = shared.value
         counts = np.zeros((kinds, ALL + len(LANGUAGES)), np.float64)
         for batch in batches:
-            docs = [p for p in (sentences(text, terms) for text in batch.column(0).to_pylist()) if p]
-            if not docs:
-                continue
-            parts = [p for doc in docs for p in doc]
-            owner = np.repeat(np.arange(len(docs)), [len(doc) for doc in docs])
+            parts, rows = Sentences(*batch.columns), batch.num_rows
             kind = _first_guess(parts, weights)
-            held = np.bincount(owner * (kinds + 1) + kind, None, len(docs) * (kinds + 1)).reshape(len(docs), kinds + 1)[:, :kinds]
+            held = np.bincount(parts.owner * (kinds + 1) + kind, None, rows * (kinds + 1)).reshape(rows, kinds + 1)[:, :kinds]
             mix = held / np.maximum(held.sum(axis=1, keepdims=True), 1)
             mix = np.where(mix >= SHARE, mix, 0)
-            size = np.array([len(p) for p in parts])
-            flat, of = np.fromiter((t for p in parts for t in p), np.int64, size.sum()), np.repeat(owner, size)
-            lang = np.array([p[0] // TERMS for p in parts])
+            of = np.repeat(parts.owner, parts.size)
             for k in range(kinds):
-                counts[k, :ALL] += np.bincount(flat, mix[of, k], ALL)
-                counts[k, ALL:] += np.bincount(lang, mix[owner, k], len(LANGUAGES))
+                counts[k, :ALL] += np.bincount(parts.flat, mix[of, k], ALL)
+                counts[k, ALL:] += np.bincount(parts.lang, mix[parts.owner, k], len(LANGUAGES))
         yield _sparse(counts.ravel())
 
-    return _totals(documents, run, kinds)
+    return _totals(docs, run, kinds)
 
 
 def _shares(counts: np.ndarray) -> np.ndarray:
@@ -340,25 +352,20 @@ def _shares(counts: np.ndarray) -> np.ndarray:
     return np.log(share * len(share)).astype(np.float32).T.copy()
 
 
-def _by_sentence(documents: DataFrame, shared, kinds: int) -> np.ndarray:
+def _by_sentence(docs: DataFrame, shared, kinds: int) -> np.ndarray:
     """Terms by the class of their sentence (last row: none)."""
 
     def run(batches):
-        terms, weights = Terms(), shared.value
-        width = ALL + len(LANGUAGES)
+        weights, width = shared.value, ALL + len(LANGUAGES)
         counts = np.zeros((kinds + 1) * width, np.int64)
         for batch in batches:
-            parts = [p for text in batch.column(0).to_pylist() for p in sentences(text, terms)]
-            if not parts:
-                continue
+            parts = Sentences(*batch.columns)
             kind = _first_guess(parts, weights)
-            size = np.array([len(p) for p in parts])
-            flat = np.fromiter((t for p in parts for t in p), np.int64, size.sum())
-            counts += np.bincount(np.repeat(kind, size) * width + flat, None, len(counts))
-            counts += np.bincount(kind * width + ALL + np.array([p[0] // TERMS for p in parts]), None, len(counts))
+            counts += np.bincount(np.repeat(kind, parts.size) * width + parts.flat, None, len(counts))
+            counts += np.bincount(kind * width + ALL + parts.lang, None, len(counts))
         yield _sparse(counts)
 
-    return _totals(documents, run, kinds + 1)
+    return _totals(docs, run, kinds + 1)
 
 
 def _bayes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -372,7 +379,7 @@ def _bayes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(documents: DataFrame, examples: DataFrame, workspace: Workspace):
-    """Subject names and the sentence model (weights, priors; the last class is none); None without examples or words."""
+    """Vectors, subject names, sentence model (weights, priors; the last class is none); None without examples or words."""
     spark = documents.sparkSession
     labelled = [(r["subject"], r["text"]) for r in examples.filter("subject IS NOT NULL AND text IS NOT NULL").select("subject", "text").collect()]  # fixed in number
     names = sorted({s for s, _ in labelled})
@@ -383,7 +390,7 @@ def fit(documents: DataFrame, examples: DataFrame, workspace: Workspace):
     terms = Terms()
     example_counts = np.zeros((len(names), TERMS), np.float64)
     for subject, text in labelled:
-        for place in {t % TERMS for s in sentences(text, terms) for t in s}:
+        for place in {t for s in sentences(text, terms) for t in s}:
             example_counts[names.index(subject), place] += 1
     found = docs.select("lang", F.explode("places").alias("p")).groupBy("lang", "p").agg(F.count(F.lit(1)).alias("n")).toArrow()  # languages times TERMS
     frequency, totals = np.zeros((len(LANGUAGES), TERMS)), np.zeros(len(LANGUAGES), np.int64)
@@ -400,8 +407,8 @@ def fit(documents: DataFrame, examples: DataFrame, workspace: Workspace):
         term_weights(presence[root == k], sizes[root == k], affinity[root == k], example_counts).T for k in range(len(LANGUAGES))
     ])
     for _ in range(SHARPEN):
-        weights = _shares(_by_document(documents, spark.sparkContext.broadcast(weights), len(names)))
-    return names, _bayes(_by_sentence(documents, spark.sparkContext.broadcast(weights), len(names)))
+        weights = _shares(_by_document(docs, spark.sparkContext.broadcast(weights), len(names)))
+    return docs, names, _bayes(_by_sentence(docs, spark.sparkContext.broadcast(weights), len(names)))
 
 
 def document_subjects(documents: DataFrame, examples: DataFrame, share: float = SHARE) -> DataFrame:
@@ -415,23 +422,18 @@ def document_subjects(documents: DataFrame, examples: DataFrame, share: float =
     fitted = fit(documents, examples, Workspace(spark, "subjects"))
     if fitted is None:
         return spark.createDataFrame([], schema)
-    names, model = fitted
+    docs, names, model = fitted
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        terms, (weights, prior) = Terms(), shared.value
+        weights, prior = shared.value
         for batch in batches:
-            ids, subjects, share_of = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = sentences(text, terms)
-                if not parts:
-                    continue
-                held = np.bincount(_score(parts, weights, prior).argmax(axis=1), None, len(names) + 1)[:-1]
-                on_any = held.sum()
-                for k in np.nonzero(held >= max(1, share * on_any - 1e-9))[0]:
-                    ids.append(key)
-                    subjects.append(names[k])
-                    share_of.append(float(held[k] / on_any))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(subjects, pa.string()), pa.array(share_of, pa.float64())], names=["doc_id", "subject", "part"])
-
-    return documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, schema)
+            parts, rows = Sentences(*batch.columns[1:]), batch.num_rows
+            kind = parts.score(weights, prior).argmax(axis=1)
+            held = np.bincount(parts.owner * (len(names) + 1) + kind, None, rows * (len(names) + 1)).reshape(rows, len(names) + 1)[:, :-1]
+            on_any = held.sum(axis=1, keepdims=True)
+            doc, k = np.nonzero(held >= np.maximum(1, share * on_any - 1e-9))
+            part = held[doc, k] / on_any[doc, 0]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array([names[x] for x in k], pa.string()), pa.array(part, pa.float64())], names=["doc_id", "subject", "part"])
+
+    return docs.select("doc_id", "words", "sizes", "lang").mapInArrow(run, schema)
