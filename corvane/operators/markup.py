@@ -13,6 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corvane.functions.scalars import safe_rate
 from corvane.kernels import documents, labels, parsing, svg
 from corvane.operators.candidates import top
+from corvane.workspace import spread
 
 
 def per_row(df: DataFrame, columns: list[str], function, schema: str) -> DataFrame:
@@ -29,7 +30,7 @@ def per_row(df: DataFrame, columns: list[str], function, schema: str) -> DataFra
             rows = [out for values in zip(*(c.to_pylist() for c in batch.columns), strict=True) for out in function(*values)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return spread(df.select(*columns)).mapInArrow(run, schema)
 
 
 CHECKED = "id string, ok boolean, reason string, reject_reasons array<string>, warnings array<string>, quality int, bytes long, nodes int, paths int, texts int, groups int, primitives int, hidden int, has_size boolean, aspect_ratio double"

@@ -32,6 +32,19 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def spread(df: DataFrame, least: int = 1 << 20) -> DataFrame:
+    """Rows over all cores where the input is too small to be split for them.
+
+    One file of one row group is read by one task, and so would be every kernel over it.
+    The plan's own size estimate decides: only what is far below a full split a core moves.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores) if least <= size < cores * split // 32 else df
+
+
 class Workspace:
     """Numbered parquet tables under one run folder."""
 
