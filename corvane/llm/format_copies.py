@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corvane.llm import bloom
 from corvane.llm.canonical import drawing_hash
 from corvane.skew import lookup_join
-from corvane.workspace import Workspace
+from corvane.workspace import Workspace, spread
 
 
 def drawing_keys(records: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def drawing_keys(records: DataFrame) -> DataFrame:
                     h2.append(both[1])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["id", "h1", "h2"])
 
-    return records.select("id", "svg", "diagram_ir").mapInArrow(hashes, "id string, h1 long, h2 long")
+    return spread(records.select("id", "svg", "diagram_ir")).mapInArrow(hashes, "id string, h1 long, h2 long")
 
 
 def _flagged(records: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.languages import FUNCTION_WORDS, language_of
-from corvane.workspace import Workspace
+from corvane.workspace import Workspace, spread
 
 #: Places for hashed terms in sentence models, and in the vectors that are clustered.
 TERMS = 1 << 15
@@ -95,7 +95,7 @@ def vectors(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, lists), pa.array(counts, lists), pa.array(langs, pa.int32()), pa.array(words, lists), pa.array(sizes, lists)], names=["doc_id", "places", "counts", "lang", "words", "sizes"])
 
     schema = "doc_id long, places array<int>, counts array<int>, lang int, words array<int>, sizes array<int>"
-    return documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, schema)
+    return spread(documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")).mapInArrow(run, schema)
 
 
 class Sentences:

@@ -8,6 +8,8 @@ import os
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from corvane.workspace import spread
+
 #: Folder of the vocabulary files; a parameter of every operator that needs it.
 TOKENIZERS = os.environ.get("CORVANE_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -35,4 +37,4 @@ def token_counts(documents: DataFrame, keep: list[str], text: str = "text", fold
             sizes = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64())], names=[*keep, "tokens"])
 
-    return documents.select(*keep, documents[text].alias("_text")).mapInArrow(count, schema)
+    return spread(documents.select(*keep, documents[text].alias("_text"))).mapInArrow(count, schema)

@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.workspace import spread
+
 #: 64-bit fingerprints of a record, each from hashes of its own.
 WORDS = 4
 #: Minima hashed together to one band, for joins by equal hash.
@@ -141,7 +143,7 @@ def bags(records: DataFrame, bands: bool = False, flag: str | None = None) -> Da
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     marked = records.filter(F.col("svg").rlike("(?i)<\\s*svg") & F.col("prompt").isNotNull())
-    return marked.select("id", "prompt", "svg", *[flag] * bool(flag)).mapInArrow(run, schema)
+    return spread(marked.select("id", "prompt", "svg", *[flag] * bool(flag))).mapInArrow(run, schema)
 
 
 def _part(bag: bytes, at: int) -> tuple[np.ndarray, np.ndarray, int]:
