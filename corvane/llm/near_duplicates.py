@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm import trie_join, wordbag
+from corvane.llm import prefix_join, wordbag
 from corvane.llm.components import hash_to_min
 from corvane.skew import lookup_join
 from corvane.workspace import Workspace
@@ -15,10 +15,10 @@ THRESHOLD = 0.8
 
 
 def _classes(records: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame, int]:
-    """Rows with keys and bags; one row a class of equal bags: ``k1, k2, class_id, n_rows, f0..f3``."""
+    """Rows with keys and bags; one row a class of equal bags: ``k1, k2, class_id, n_rows, words, n_svg``."""
     rows = workspace.save(wordbag.bags(records), "bags")
-    prints = [F.first(f"f{k}").alias(f"f{k}") for k in range(wordbag.WORDS)]
-    classes = rows.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"), *prints)
+    words = [F.first("words").alias("words"), F.first("n_svg").alias("n_svg")]
+    classes = rows.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"), *words)
     classes = workspace.save(classes, "classes")
     return rows, classes, classes.count()
 
@@ -26,7 +26,7 @@ def _classes(records: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataF
 def class_pairs(records: DataFrame, workspace: Workspace, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows, classes and the verified pairs of classes (``a1, a2, b1, b2``, smaller key first)."""
     rows, classes, total = _classes(records, workspace)
-    near = workspace.save(trie_join.candidates(classes, total), "candidates")
+    near = workspace.save(prefix_join.candidates(classes, total, threshold), "candidates")
     return rows, classes, workspace.save(wordbag.verified(near, rows, threshold, workspace), "pairs")
 
 

@@ -10,6 +10,8 @@ For the cluster, the first levels are walked as a plan: one task joins the subtr
 below two prefixes within budget. Prefixes with more fingerprints than ``CHUNK`` are
 cut into blocks by hash and all pairs of blocks become tasks, so no task holds more
 than two chunks however the bits are skewed.
+
+No query uses it any more: a budget loses pairs near the threshold, ``prefix_join`` none.
 """
 
 from __future__ import annotations
@@ -17,11 +19,6 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from corvane.llm.wordbag import WORDS
 
 #: Fingerprints of one side of a task, about.
 CHUNK = 200_000
@@ -29,8 +26,6 @@ CHUNK = 200_000
 FRONT = 1 << 20
 #: Differing bits allowed down to a depth.
 BUDGET = [(4, 1), (16, 2), (26, 3), (34, 4), (42, 5), (48, 6), (56, 8), (64, 9)]
-#: Differing bits allowed over all ``WORDS`` fingerprints.
-WHOLE_BUDGET = 60
 
 
 def allowed(depth: int) -> int:
@@ -117,36 +112,6 @@ def _leaves(a, b, front, same, depth):
         at = upto
 
 
-_PAIRS = "a1 long, a2 long, b1 long, b2 long"
-
-
-def _join_task(table: pa.Table) -> pa.Table:
-    """All pairs of one task within both budgets, the smaller key first."""
-    def col(name):
-        return table.column(name).to_numpy()
-
-    word, side = col("w"), col("side")
-    keys, prints = np.stack([col("k1"), col("k2")]), np.stack([col(f"f{k}") for k in range(WORDS)]).view(np.uint64)
-    main = prints[int(word[0])]
-    left = np.nonzero(side == 0)[0]
-    left = left[np.argsort(main[left], kind="stable")]
-    right = np.nonzero(side == 1)[0]
-    right = right[np.argsort(main[right], kind="stable")]
-    same = int(table.column("self")[0].as_py()) == 1
-    found = []
-    if same or len(right):
-        for i, j in walk(main[left], main[left if same else right], same):
-            i, j = left[i], (left if same else right)[j]
-            far = np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int32)
-            near = far <= WHOLE_BUDGET
-            i, j = i[near], j[near]
-            swap = (keys[0, i] > keys[0, j]) | ((keys[0, i] == keys[0, j]) & (keys[1, i] > keys[1, j]))
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            found.append(np.concatenate([keys[:, i], keys[:, j]]))
-    rows = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
-    return pa.table({name: pa.array(rows[k]) for k, name in enumerate(("a1", "a2", "b1", "b2"))})
-
-
 def plan(counts: dict[tuple[int, int], int], depth: int) -> list[tuple[int, int, int, int, int, int, int]]:
     """Rows (word, prefix, block, blocks, task, side, self) for the subtree sizes in ``counts``."""
     blocks = {at: -(-n // CHUNK) for at, n in counts.items()}
@@ -166,19 +131,3 @@ def plan(counts: dict[tuple[int, int], int], depth: int) -> list[tuple[int, int,
                         rows.append((word, q, y, other, task, 1, alone))
                     task += 1
     return rows
-
-
-def candidates(classes: DataFrame, total: int) -> DataFrame:
-    """``a1, a2, b1, b2``: distinct pairs of keys of ``classes`` (``k1, k2, f0..f3``) within budget."""
-    spark = classes.sparkSession
-    depth = max(3, int(np.ceil(np.log2(max(1, total / CHUNK)))) + 1)
-    words = classes.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("w"), F.col(f"f{k}").alias("f")) for k in range(WORDS)])).alias("x"))
-    words = words.select("k1", "k2", *[f"f{k}" for k in range(WORDS)], F.col("x.w").alias("w"), F.expr(f"shiftrightunsigned(x.f, {64 - depth})").alias("p"))
-    held = {(r["w"], r["p"]): r["n"] for r in words.groupBy("w", "p").agg(F.count(F.lit(1)).alias("n")).collect()}  # WORDS * 2^depth rows
-    rows = plan(held, depth)
-    if not rows:
-        return spark.createDataFrame([], _PAIRS)
-    tasks = spark.createDataFrame(rows, "w int, p long, block long, blocks long, task int, side int, self int")
-    placed = words.join(F.broadcast(tasks), ["w", "p"]).filter(F.pmod(F.xxhash64("k1", "k2"), F.col("blocks")) == F.col("block"))
-    grouped = placed.select("task", "w", "side", "self", "k1", "k2", *[f"f{k}" for k in range(WORDS)]).groupBy("task")
-    return grouped.applyInArrow(lambda t: _join_task(t), _PAIRS).distinct()

@@ -30,7 +30,7 @@ STEP = 1500
 _WORD = re.compile(r"[^\W_]+")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-SCHEMA = "id string, k1 long, k2 long, f0 long, f1 long, f2 long, f3 long, bag binary"
+SCHEMA = "id string, k1 long, k2 long, words binary, n_svg int, bag binary"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,11 +95,12 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
         nth = np.arange(c.sum()) - np.repeat(first, c)
         tokens = mix(np.repeat(sided, c) + nth.astype(np.uint64) * _GOLD)
     where = np.repeat(record, c)
-    minima = [_minima(tokens, where, n, seed) for seed in range(WORDS)]
     columns = [pa.array([ids[k] for k in kept], pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))]
-    for m in minima:
-        bits = np.packbits((mix(m) & np.uint64(1)).astype(np.uint8), axis=1)
-        columns.append(pa.array(bits.view(">u8").astype(np.int64).ravel() if n else np.zeros(0, np.int64)))
+    small_tokens = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4")
+    sizes = np.add.reduceat(c, np.cumsum(length) - length) if n else np.zeros(0, np.int64)
+    ends = np.cumsum(sizes)
+    columns.append(pa.array([small_tokens[ends[2 * k] - sizes[2 * k] : ends[2 * k]].tobytes() for k in range(n)], pa.binary()))
+    columns.append(pa.array(sizes[1::2].astype(np.int32)))
     bags, at = [], 0
     small, count16 = (h & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(c, 65535).astype("<u2")
     for i in range(n):
@@ -111,6 +112,12 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
         bags.append(b"".join(parts))
     columns.append(pa.array(bags, pa.binary()))
     if bands:
+        minima = [_minima(tokens, where, n, seed) for seed in range(WORDS)]
+        prints = []
+        for m in minima:
+            bits = np.packbits((mix(m) & np.uint64(1)).astype(np.uint8), axis=1)
+            prints.append(pa.array(bits.view(">u8").astype(np.int64).ravel() if n else np.zeros(0, np.int64)))
+        columns += prints[:2]
         rows = np.concatenate(minima, axis=1)[:, : BANDS * BAND_ROWS].reshape(n, BANDS, BAND_ROWS)
         out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS)).copy()
         with np.errstate(over="ignore"):
@@ -123,14 +130,16 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
 def bags(records: DataFrame, bands: bool = False, flag: str | None = None) -> DataFrame:
     """``SCHEMA`` of every record with SVG markup in ``svg`` and words in ``prompt``.
 
-    ``bands`` adds an array of band hashes, ``flag`` names a boolean column to keep.
+    ``words`` holds a hash for each occurrence of a word in the prompt, ``n_svg`` the
+    number of words in the svg. ``bands`` adds two fingerprints and an array of band
+    hashes, ``flag`` names a boolean column to keep.
 
     ``k1, k2`` are equal for records with the same two multisets. Null and wordless
     texts are alike to nothing and left out; whole texts are read.
     """
 
-    names = ["id", "k1", "k2", "f0", "f1", "f2", "f3", "bag", *["bands"] * bands, *[flag] * bool(flag)]
-    schema = SCHEMA + ", bands array<long>" * bands + (f", {flag} boolean" if flag else "")
+    names = ["id", "k1", "k2", "words", "n_svg", "bag", *["f0", "f1", "bands"] * bands, *[flag] * bool(flag)]
+    schema = SCHEMA + ", f0 long, f1 long, bands array<long>" * bands + (f", {flag} boolean" if flag else "")
 
     def run(batches):
         hashes = _Hashes()

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.llm import bloom, components, format_copies, mixing, near_duplicates, packing, pair_defects, related_splits, split_overlap, subjects, trie_join, wordbag
+from corvane.llm import bloom, components, format_copies, mixing, near_duplicates, packing, pair_defects, prefix_join, related_splits, split_overlap, subjects, trie_join, wordbag
 from corvane.llm.canonical import canonical_ir, canonical_svg
 from corvane.llm.languages import asked_language, language_of
 from corvane.llm.names import author_key, source_key, split_name
@@ -167,6 +167,43 @@ def test_near_pairs_and_overlaps_equal_brute_force(spark):
         assert op(table.limit(0)).count() == 0
 
 
+def threshold_table(seed=11, groups=60, words=200):
+    """Pairs alike at 0.80 to 0.86 in both texts, one of which may be longer."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        split = ["train", "val"] if g % 2 else ["test", "train"]
+        texts = [[f"{t}{rng.randint(0, 700)}" for _ in range(words)] for t in "ps"]
+        other = []
+        for text in texts:
+            copy, more = list(text), rng.choice([0, 0, 10])
+            for at in rng.sample(range(words), int(words * rng.choice([0.14, 0.17, 0.19, 0.2])) - more // 2):
+                copy[at] = f"new{rng.randint(0, 10**6)}"
+            other.append(copy + [f"more{rng.randint(0, 10**6)}" for _ in range(more)])
+        for k, (prompt, svg) in enumerate((texts, other)):
+            rows.append({"id": f"t{g:02d}{k}", "prompt": " ".join(prompt), "svg": "<svg>" + " ".join(svg) + "</svg>", "split": split[k], "source": "x:1"})
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [100_000, 40])
+def test_near_pairs_at_the_threshold_are_all_found(spark, monkeypatch, chunk):
+    monkeypatch.setattr(prefix_join, "CHUNK", chunk)
+    rows = threshold_table()
+    want = brute(rows)
+    assert len(want) > 40
+    assert sorted(tuple(r) for r in near_duplicates.record_pairs(records(spark, *rows)).collect()) == sorted(want)
+    assert {r.id for r in near_duplicates.record_links(records(spark, *rows)).filter("n_links > 0").collect()} == {i for p in want for i in p}
+
+
+def test_prefix_join_drops_no_alike_pair_whatever_the_block():
+    first, blocks = prefix_join.plan(np.array([30, 0, 5, 250_000, 70_000, 50_000]))
+    assert blocks.tolist() == [1, 1, 1, 3, 1, 1] and first.tolist() == [0, 0, 0, 1, 7, 8]
+    at, task, side = prefix_join.placed(first[[3, 3, 3]], blocks[[3, 3, 3]], np.array([0, 1, 2]))
+    held = {}
+    for row, t, s in zip(at.tolist(), task.tolist(), side.tolist(), strict=True):
+        held.setdefault(t, []).append((s, row))
+    assert sorted(map(sorted, held.values())) == [[(0, 0)], [(0, 1)], [(0, 2)], [(1, 0), (2, 1)], [(1, 0), (2, 2)], [(1, 1), (2, 2)]]
+
+
 def test_trie_walk_finds_all_within_budget():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 600, dtype=np.uint64)
