@@ -148,14 +148,14 @@ def _join_task(table: pa.Table, threshold: float, crossing: bool) -> pa.Table:
         fronts = col["at"][rows] <= n - np.ceil(threshold * n - _SLACK)
         sides = [(side == 0, side == 0)] if not side.any() else [(side == 1, side == 2), (side == 2, side == 1)]
         # role 1 trains, 2 evaluates, 3 both
-        for one, two in [(x & ((role & p) > 0), y & ((role & q) > 0)) for x, y in sides for p, q in ([(1, 2), (2, 1)] if crossing else [(3, 3)])]:
+        for first, one, two in [(p, x & ((role & p) > 0), y & ((role & q) > 0)) for x, y in sides for p, q in ([(1, 2), (2, 1)] if crossing else [(3, 3)])]:
             s, g = rows[one & fronts], rows[two]
             if not len(s) or not len(g):
                 continue
             short, long = ({"n": col["n"][r].astype(np.int64), "m": col["m"][r].astype(np.int64), "at": col["at"][r], "b": np.ascontiguousarray(bits[:, r])} for r in (s, g))
             for i, j in met(short, long, threshold):
                 i, j = s[i], g[j]
-                swap = (keys[0, i] > keys[0, j]) | ((keys[0, i] == keys[0, j]) & (keys[1, i] > keys[1, j]))
+                swap = np.full(len(i), first == 1) if crossing else (keys[0, i] > keys[0, j]) | ((keys[0, i] == keys[0, j]) & (keys[1, i] > keys[1, j]))
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
                 pair = np.concatenate([keys[:, i], keys[:, j]])
                 found.append(pair[:, (pair[0] != pair[2]) | (pair[1] != pair[3])])
@@ -168,7 +168,7 @@ def candidates(classes: DataFrame, total: int, threshold: float, crossing: bool
 
     ``classes`` holds ``k1, k2``, ``words`` (a hash for each occurrence of a word) and
     ``n_svg``, by which pairs of too different size are dropped; the smaller key comes
-    first. With ``crossing``, one of a pair has bit 1 and the other bit 2 of ``role``.
+    first. With ``crossing``, the first of a pair has bit 2 of ``role`` and the other bit 1.
     """
     spark = classes.sparkSession
     every = max(1, total // ORDER_SAMPLE)

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm import wordbag
+from corvane.llm import prefix_join, wordbag
 from corvane.llm.names import source_key, split_name
 from corvane.skew import lookup_join
 from corvane.workspace import Workspace
 
 #: Least share of common words, in both texts.
 THRESHOLD = 0.8
-#: Differing bits of the first two fingerprints beyond which a band's match is chance:
-#: pairs alike at 0.9 differ in 12 of 128 on average, unrelated ones in 50.
-SKETCH_BUDGET = 28
 
 
 def _matches(records: DataFrame, workspace: Workspace, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -25,28 +22,20 @@ def _matches(records: DataFrame, workspace: Workspace, threshold: float) -> tupl
     first; the two sides of one class match without a row of their own.
     """
     placed = records.select("id", "prompt", "svg", (split_name(F.col("split")) == "train").alias("trains")).filter("trains IS NOT NULL")
-    rows = workspace.save(wordbag.bags(placed, bands=True, flag="trains"), "bands")
-    classes = rows.groupBy("k1", "k2").agg(
-        F.count_if("trains").alias("n_train"), F.count_if(~F.col("trains")).alias("n_eval"), F.first("f0").alias("f0"), F.first("f1").alias("f1"), F.first("bands").alias("bands")
-    )
+    rows = workspace.save(wordbag.bags(placed, flag="trains"), "bags")
+    classes = rows.groupBy("k1", "k2").agg(F.count_if("trains").alias("n_train"), F.count_if(~F.col("trains")).alias("n_eval"), F.first("words").alias("words"), F.first("n_svg").alias("n_svg"))
     classes = workspace.save(classes, "classes")
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("k1").alias(f"{name}1"), F.col("k2").alias(f"{name}2"), F.col("f0").alias(f"f{name}"), F.col("f1").alias(f"g{name}"), F.explode("bands").alias("band"))
-
-    met = side(classes.filter("n_eval > 0"), "a").join(side(classes.filter("n_train > 0"), "b"), "band")
-    apart = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) + F.bit_count(F.col("ga").bitwiseXOR(F.col("gb")))
-    met = met.filter((apart <= SKETCH_BUDGET) & ~((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))))
-    near = workspace.save(met.select("a1", "a2", "b1", "b2").distinct(), "candidates")
+    sides = classes.withColumn("role", (F.col("n_train") > 0).cast("int") + (F.col("n_eval") > 0).cast("int") * 2)
+    near = workspace.save(prefix_join.candidates(sides, classes.count(), threshold, crossing=True), "candidates")
     return rows, classes, workspace.save(wordbag.verified(near, rows, threshold, workspace), "pairs")
 
 
 def overlapping_pairs(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``id_a, id_b``: alike records, one in train and one in val or test, smaller id first.
 
-    Evaluation and training classes are joined on hashes of their canonical words: of
-    all of them, and of ``BANDS`` samples; sampled matches are then held against
-    the whole texts. Blank splits belong to no side; null texts are alike to nothing.
+    Evaluation and training classes are joined on hashes of all their canonical words
+    and, by prefix filtering, on rare words of the prompt, which loses no pair; what
+    meets is then held against the whole texts. Blank splits belong to no side; null texts are alike to nothing.
     """
     workspace = Workspace(records.sparkSession, "overlap")
     rows, classes, pairs = _matches(records, workspace, threshold)

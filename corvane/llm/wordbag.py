@@ -1,9 +1,8 @@
-"""Word multisets of records: exact bags, class keys and binary fingerprints.
+"""Word multisets of records: exact bags, class keys and the words of prompts.
 
 Two texts are alike to the degree of twice their common words over the words of both
-(repeated words count repeatedly). With the n-th occurrence of a word as a token of
-its own that is a set similarity, so one-bit minima estimate it: each bit of the
-fingerprints differs with probability (1 - J) / 2, J = D / (2 - D).
+(repeated words count repeatedly). The n-th occurrence of a word counts as a word of
+its own where words are listed.
 """
 
 from __future__ import annotations
@@ -19,17 +18,11 @@ from pyspark.sql import functions as F
 
 from corvane.workspace import spread
 
-#: 64-bit fingerprints of a record, each from hashes of its own.
-WORDS = 4
-#: Minima hashed together to one band, for joins by equal hash.
-BAND_ROWS = 8
-BANDS = WORDS * 64 // BAND_ROWS
 #: Records worked on at a time.
 STEP = 1500
 
 _WORD = re.compile(r"[^\W_]+")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SCHEMA = "id string, k1 long, k2 long, words binary, n_svg int, bag binary"
 
 
@@ -50,25 +43,8 @@ class _Hashes(dict):
         return value
 
 
-def _minima(tokens: np.ndarray, record: np.ndarray, records: int, seed: int) -> np.ndarray:
-    """64 minima of each record by one permutation hashing; empty bins borrow from the next."""
-    with np.errstate(over="ignore"):
-        t = mix(tokens + np.uint64(seed + 1) * np.uint64(0xD6E8FEB86659FD93))
-    out = np.full(records * 64, _EMPTY)
-    np.minimum.at(out, record * 64 + (t >> np.uint64(58)).astype(np.int64), t & np.uint64((1 << 58) - 1))
-    out = out.reshape(records, 64)
-    for step in range(64):
-        hole = out == _EMPTY
-        if not hole.any():
-            break
-        out = np.where(hole, np.roll(out, -1, axis=1), out)
-        if step == 0 and hole.all(axis=1).any():
-            out[hole.all(axis=1)] = 0
-    return out
-
-
-def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes, bands: bool) -> tuple[list[int], list[pa.Array]]:
-    """Rows whose two texts both have words; their columns of ``SCHEMA`` (and the bands)."""
+def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes) -> tuple[list[int], list[pa.Array]]:
+    """Rows whose two texts both have words; their columns of ``SCHEMA``."""
     kept, hs, cs, lens = [], [], [], []
     for key, (prompt, svg) in enumerate(zip(prompts, svgs, strict=True)):
         p, s = Counter(_WORD.findall(prompt.lower())), Counter(_WORD.findall(svg.lower()))
@@ -94,7 +70,6 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
         first = np.cumsum(c) - c
         nth = np.arange(c.sum()) - np.repeat(first, c)
         tokens = mix(np.repeat(sided, c) + nth.astype(np.uint64) * _GOLD)
-    where = np.repeat(record, c)
     columns = [pa.array([ids[k] for k in kept], pa.string()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))]
     small_tokens = (tokens & np.uint64(0xFFFFFFFF)).astype("<u4")
     sizes = np.add.reduceat(c, np.cumsum(length) - length) if n else np.zeros(0, np.int64)
@@ -111,42 +86,28 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes,
             at += size
         bags.append(b"".join(parts))
     columns.append(pa.array(bags, pa.binary()))
-    if bands:
-        minima = [_minima(tokens, where, n, seed) for seed in range(WORDS)]
-        prints = []
-        for m in minima:
-            bits = np.packbits((mix(m) & np.uint64(1)).astype(np.uint8), axis=1)
-            prints.append(pa.array(bits.view(">u8").astype(np.int64).ravel() if n else np.zeros(0, np.int64)))
-        columns += prints[:2]
-        rows = np.concatenate(minima, axis=1)[:, : BANDS * BAND_ROWS].reshape(n, BANDS, BAND_ROWS)
-        out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS)).copy()
-        with np.errstate(over="ignore"):
-            for r in range(BAND_ROWS):
-                out = mix(out * _GOLD + rows[:, :, r])
-        columns.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(out.ravel().view(np.int64))))
     return kept, columns
 
 
-def bags(records: DataFrame, bands: bool = False, flag: str | None = None) -> DataFrame:
+def bags(records: DataFrame, flag: str | None = None) -> DataFrame:
     """``SCHEMA`` of every record with SVG markup in ``svg`` and words in ``prompt``.
 
     ``words`` holds a hash for each occurrence of a word in the prompt, ``n_svg`` the
-    number of words in the svg. ``bands`` adds two fingerprints and an array of band
-    hashes, ``flag`` names a boolean column to keep.
+    number of words in the svg. ``flag`` names a boolean column to keep.
 
     ``k1, k2`` are equal for records with the same two multisets. Null and wordless
     texts are alike to nothing and left out; whole texts are read.
     """
 
-    names = ["id", "k1", "k2", "words", "n_svg", "bag", *["f0", "f1", "bands"] * bands, *[flag] * bool(flag)]
-    schema = SCHEMA + ", f0 long, f1 long, bands array<long>" * bands + (f", {flag} boolean" if flag else "")
+    names = ["id", "k1", "k2", "words", "n_svg", "bag", *[flag] * bool(flag)]
+    schema = SCHEMA + (f", {flag} boolean" if flag else "")
 
     def run(batches):
         hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                kept, columns = sketch(*(part.column(k).to_pylist() for k in range(3)), hashes, bands)
+                kept, columns = sketch(*(part.column(k).to_pylist() for k in range(3)), hashes)
                 if flag:
                     columns.append(part.column(3).take(pa.array(kept, pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=names)

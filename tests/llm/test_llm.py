@@ -194,6 +194,13 @@ def test_near_pairs_at_the_threshold_are_all_found(spark, monkeypatch, chunk):
     assert {r.id for r in near_duplicates.record_links(records(spark, *rows)).filter("n_links > 0").collect()} == {i for p in want for i in p}
 
 
+def test_overlaps_at_the_threshold_are_all_found(spark):
+    rows = threshold_table()
+    want = brute(rows)
+    assert sorted(tuple(r) for r in split_overlap.overlapping_pairs(records(spark, *rows)).collect()) == sorted(want)
+    assert sum(r.near_records for r in split_overlap.overlap_counts(records(spark, *rows)).collect()) == len(want)
+
+
 def test_prefix_join_drops_no_alike_pair_whatever_the_block():
     first, blocks = prefix_join.plan(np.array([30, 0, 5, 250_000, 70_000, 50_000]))
     assert blocks.tolist() == [1, 1, 1, 3, 1, 1] and first.tolist() == [0, 0, 0, 1, 7, 8]
