@@ -22,6 +22,10 @@ SAMPLE = 4000
 HELD_OUT = 0.25
 #: Weight of a sound held-out row when the thresholds are set.
 SOUND_WEIGHT = 8.0
+#: Windows of a sound text that are fitted on, spread evenly; all are judged.
+FIT_WINDOWS = 4
+#: Part of the fitting rows that get a long text before a refusal, and a harmless one.
+LONG = 0.3
 #: Thresholds stay this close to even odds, as some held-out rows are defective unseen.
 LIMITS = (0.0, 0.5)
 
@@ -125,9 +129,27 @@ def _subject(prompt: str, rng: random.Random) -> str:
     return " ".join(words[at : at + rng.randint(2, 7)]).strip(".,:;")
 
 
+def _long(prompt: str, rng: random.Random) -> str:
+    """The prompt's phrases again and again in another order, over a window long."""
+    parts = [p for p in re.split(r"(?<=[.,:;!?])\s+", prompt) if p] or ["-"]
+    out, words, most = [], 0, 130 * 8 ** rng.random()
+    while words < most:
+        out.append(rng.choice(parts))
+        words += max(1, len(out[-1].split()))
+    return " ".join(out)
+
+
+def _long_refusal(prompt: str, spoken: str, form: str, rng: random.Random) -> str:
+    text = f"{_long(prompt, rng)} {_refusal(spoken, _subject(prompt, rng), rng)}"
+    if form == "svg" and rng.random() < 0.5:
+        box = "".join(f'<rect x="{rng.randint(1, 90)}" y="{rng.randint(1, 90)}" width="90" height="40"/>' for _ in range(rng.randint(2, 4)))
+        return _shell(rng, box + f'<text x="5" y="9">{text.replace("<", "&lt;")}</text>')
+    return rng.choice([text, _shell(rng, f'<text x="5" y="9">{text.replace("<", "&lt;")}</text>')])
+
+
 def spoiled(base: list[tuple[str, str]], seed: int) -> list[tuple[str, str, int]]:
     """(prompt, target, label) made from sound pairs; the label is a place in DEFECTS or -1."""
-    rng = random.Random(seed)
+    rng, more = random.Random(seed), random.Random(seed + 1000)
     out: list[tuple[str, str, int]] = []
     by_lang: dict[str, list[str]] = {}
     for prompt, target in base:
@@ -155,6 +177,11 @@ def spoiled(base: list[tuple[str, str]], seed: int) -> list[tuple[str, str, int]
                 at = target.find(">") + 1
                 out.append((prompt, target[:at] + odd + target[at:], -1))
             out.append((prompt, rng.choice(by_lang[spoken]), -1))
+        if more.random() < LONG:
+            out.append((prompt, _long_refusal(prompt, spoken, form, more), 2))
+        if more.random() < LONG and form == "svg" and "</svg>" in target.lower():
+            at = target.find(">") + 1
+            out.append((prompt, target[:at] + f'<text x="5" y="9">{_long(more.choice(base)[0], more).replace("<", "&lt;")}</text>' + target[at:], -1))
     return out
 
 
@@ -180,8 +207,14 @@ def _matrix(examples, features: Features) -> tuple[tuple[np.ndarray, np.ndarray,
     for prompt, target, label in examples:
         found = features(prompt, target)
         if found is not None:
-            rows.add(found)
-            labels.append(label)
+            (places, values), windows = found
+            last = len(windows) - 1
+            # what makes a defect stands in the comments, in the first window, or at the end of a long text
+            some = {0 if "<!--" in target else last} if label >= 0 else {k * last // (FIT_WINDOWS - 1) for k in range(FIT_WINDOWS)}
+            for nth in sorted(some):
+                spoken = windows[max(0, nth)] if windows else ([], [])
+                rows.add((places + spoken[0], values + spoken[1]))
+                labels.append(label)
     return rows.arrays(), np.array(labels, np.int64)
 
 
@@ -198,6 +231,21 @@ def scores(weights: np.ndarray, rows: tuple[np.ndarray, np.ndarray, np.ndarray])
     return total
 
 
+def judged(weights: np.ndarray, found: list) -> np.ndarray:
+    """Scores of feature sets, each with the window of its text that scores highest for a defect."""
+    rows, spoken, owner = Rows(), Rows(), []
+    for k, (base, windows) in enumerate(found):
+        rows.add(base)
+        for window in windows:
+            spoken.add(window)
+            owner.append(k)
+    total = scores(weights, rows.arrays())
+    if owner:
+        starts = np.nonzero(np.diff(owner, prepend=-1))[0]
+        total[np.array(owner)[starts]] += np.maximum.reduceat(scores(weights, spoken.arrays()), starts, axis=0)
+    return total
+
+
 def _views() -> np.ndarray:
     """Which features each defect looks at: labels tell the language, speech all else."""
     seen = np.ones((WIDTH, len(DEFECTS)), np.float32)
@@ -267,8 +315,7 @@ def fit(base: list[tuple[str, str]], seed: int = 5) -> tuple[np.ndarray, np.ndar
         weights = fit_linear(*train, epochs=8 if last else 3)
         limits = thresholds(scores(weights, held[0]), held[1])
         if not last:
-            rows, _ = _matrix([(p, t, -1) for p, t in base], features)
-            clean = (scores(weights, rows) <= limits).all(axis=1)
+            clean = (judged(weights, [features(p, t) for p, t in base]) <= limits).all(axis=1)
             base = [pair for pair, ok in zip(base, clean, strict=True) if ok]
             cut = int(len(base) * (1 - HELD_OUT))
     return weights, limits
@@ -293,7 +340,7 @@ def _sample(records: DataFrame, size: int) -> list[tuple[str, str]]:
 def defects(records: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``id, defect``: one row for each record whose response does not serve its prompt.
 
-    Each target is judged by the classifier; ``empty`` needs both to show nothing, any
+    Each target is judged by the classifier, whole, in windows of its running text; ``empty`` needs both to show nothing, any
     other defect of one target is enough, the surest is given. Null prompts count as
     empty texts; an empty table gives no rows.
     """
@@ -310,16 +357,16 @@ def defects(records: DataFrame, sample: int = SAMPLE) -> DataFrame:
         weights, limits = shared.value
         for batch in batches:
             ids, prompts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows, owner, blank = Rows(), [], np.zeros((len(ids), 2), bool)
+            held, owner, blank = [], [], np.zeros((len(ids), 2), bool)
             for side in range(2):
                 for k, (prompt, target) in enumerate(zip(prompts, batch.column(2 + side).to_pylist(), strict=True)):
                     found = features(prompt or "", target or "")
                     if found is None:
                         blank[k, side] = True
                         continue
-                    rows.add(found)
+                    held.append(found)
                     owner.append((k, side))
-            over = scores(weights, rows.arrays()) - limits
+            over = judged(weights, held) - limits
             best: dict[int, tuple[float, int]] = {}
             for (k, side), row in zip(owner, over, strict=True):
                 worst = int(np.argmax(row))

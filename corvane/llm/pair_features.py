@@ -15,6 +15,10 @@ LABELS = 1 << 15
 SPEECH = 1 << 14
 PAIR = 96
 WIDTH = LABELS + SPEECH + PAIR
+#: First words of a running text looked at together, and of the longest label in a drawing.
+FIRST, FIRST_OF_LABEL = 120, 60
+#: Words looked at together in longer texts, all through, as long as a refusal is.
+WINDOW = 24
 
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\W_]+")
@@ -65,6 +69,20 @@ def _pieces(text: str, form: str) -> tuple[list[str], list[str], int, bool]:
     return [text], [], 0, True
 
 
+def _windows(words: list[str], first: int) -> tuple[list[str], list[list[str]]]:
+    """The first words, and windows over all of them if there are more."""
+    half = WINDOW // 2
+    return words[:first], [words[at : at + WINDOW] for at in range(0, max(1, len(words) - half), half)] if len(words) > first else []
+
+
+def _speech(spoken: list[str]) -> tuple[list[int], list[float]]:
+    places: set[int] = set()
+    for a, b in zip(spoken, [*spoken[1:], "$"], strict=False):
+        places.add(LABELS + zlib.crc32(f"w|{a}".encode()) % SPEECH)
+        places.add(LABELS + zlib.crc32(f"b|{a}|{b}".encode()) % SPEECH)
+    return list(places), [len(places) ** -0.5] * len(places)
+
+
 class Features:
     """Turns (prompt, target) into places of the feature vector; remembers words."""
 
@@ -82,10 +100,12 @@ class Features:
             found = self._words[key] = [zlib.crc32(f"{mark}|{g}".encode()) % LABELS for g in grams]
         return found
 
-    def __call__(self, prompt: str, target: str) -> tuple[list[int], list[float]] | None:
-        """Places and values of the features; None for a blank target.
+    def __call__(self, prompt: str, target: str) -> tuple[tuple[list[int], list[float]], list[tuple[list[int], list[float]]]] | None:
+        """Places and values of the features but speech, and those of speech by window; None for a blank target.
 
-        Each kind of n-gram has unit length however long the target is.
+        The first window holds the comments and the first words; where there are more, small
+        windows that overlap by half follow over all of the text, so what is said late counts
+        as well. Each kind of n-gram has unit length, in each window.
         """
         if not target or not target.strip():
             return None
@@ -97,20 +117,18 @@ class Features:
         if shapes:  # language matters only where labels are
             for word in {w for t in texts for w in _WORD.findall(t.lower())}:
                 label.update(self._of("L" + lang, word))
-        spoken = _WORD.findall(" ".join(comments).lower())
+        said = _WORD.findall(" ".join(comments).lower())
         longest = max(texts, key=len, default="")
         if shapes < 2:
-            spoken += [w for t in texts for w in _WORD.findall(t.lower())][:120]
-        elif len(longest) > 40:
-            spoken += _WORD.findall(longest.lower())[:60]
-        speech: set[int] = set()
-        for a, b in zip(spoken, [*spoken[1:], "$"], strict=False):
-            speech.add(LABELS + zlib.crc32(f"w|{a}".encode()) % SPEECH)
-            speech.add(LABELS + zlib.crc32(f"b|{a}|{b}".encode()) % SPEECH)
+            head, windows = _windows([w for t in texts for w in _WORD.findall(t.lower())], FIRST)
+        else:
+            long = sorted((t for t in dict.fromkeys(texts) if len(t) > 40), key=len, reverse=True)
+            head, windows = _windows(_WORD.findall(long[0].lower()) if long else [], FIRST_OF_LABEL)
+            windows += [part for t in long[1:] for part in _windows(_WORD.findall(t.lower()), 0)[1]]
+        windows = [said + head, *windows]
         pair = self._pair(prompt, text, form, texts, comments, shapes, whole, longest)
-        places = [*label, *speech, *pair]
-        values = [len(label) ** -0.5] * len(label) + [len(speech) ** -0.5] * len(speech) if label and speech else [len(label or speech or "1") ** -0.5] * (len(label) + len(speech))
-        return places, values + [0.3] * len(pair)
+        base = [*label, *pair], [max(1, len(label)) ** -0.5] * len(label) + [0.3] * len(pair)
+        return base, [_speech(spoken) for spoken in windows if spoken]
 
     @staticmethod
     def _pair(prompt, text, form, texts, comments, shapes, whole, longest) -> list[int]:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.llm import bloom, components, format_copies, mixing, near_duplicates, packing, pair_defects, prefix_join, related_splits, split_overlap, subjects, trie_join, wordbag
+from corvane.llm import bloom, components, format_copies, mixing, near_duplicates, packing, pair_defects, pair_features, prefix_join, related_splits, split_overlap, subjects, trie_join, wordbag
 from corvane.llm.canonical import canonical_ir, canonical_svg
 from corvane.llm.languages import asked_language, language_of
 from corvane.llm.names import author_key, source_key, split_name
@@ -282,6 +282,31 @@ def test_defects_on_held_out_rows(spark):
     assert pair_defects.defects(records(spark, *rows).limit(0)).count() == 0
 
 
+LATE = "i am sorry but i cannot draw {}"
+
+
+def test_what_is_said_late_is_looked_at():
+    chat = " ".join(f"chat{k}" for k in range(400))
+    box = '<rect x="1" y="1" width="9" height="9"/>'
+    features = pair_features.Features()
+    for target in (f"{chat} {LATE} {chat}", f"<svg><text>{chat} {LATE}</text></svg>", f"<svg>{box * 3}<text>{chat} {LATE}</text></svg>", f"<svg>{box * 3}<text>{chat} {chat}</text><text>{LATE} and no further elements</text></svg>"):
+        _, windows = features("Draw a bridge.", target)
+        want = set(pair_features._speech(LATE.replace("{}", "").split())[0])
+        assert max(len(want & set(places)) for places, _ in windows) >= len(want) - 1
+
+
+def test_a_late_refusal_counts_in_long_texts():
+    base = defect_base()
+    weights, limits = pair_defects.fit([(p, s) for _, p, s in base])
+    features, refusal = pair_features.Features(), pair_defects.DEFECTS.index("refusal")
+    boxes = '<rect x="1" y="1" width="9" height="9"/>' * 3
+    for k in (0, 40):
+        chat = " ".join([base[k][1]] * 10)
+        for form in ("{}", "<svg><text>{}</text></svg>", f"<svg>{boxes}<text>{{}}</text></svg>"):
+            with_it, without = pair_defects.judged(weights, [features(base[k][1], form.format(chat + end)) for end in (" I'm sorry, but I cannot draw this bridge.", "")]) - limits
+            assert with_it[refusal] > without[refusal] + 2 and (boxes in form or with_it[refusal] > 0)
+
+
 # packing, mixing, subjects
 
 
