@@ -26,6 +26,8 @@ SOUND_WEIGHT = 8.0
 FIT_WINDOWS = 4
 #: Part of the fitting rows that get a long text before a refusal, and a harmless one.
 LONG = 0.3
+#: Sampled pairs below which built-in ones are fitted on too, and their number.
+LEAST, BUILT_IN = 8, 240
 #: Thresholds stay this close to even odds, as some held-out rows are defective unseen.
 LIMITS = (0.0, 0.5)
 
@@ -301,6 +303,27 @@ def thresholds(score: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return out
 
 
+# Words of the built-in pairs and how they are asked for.
+_THINGS = {"en": "river bridge tower garden kitchen window market school", "de": "Fluss Brücke Turm Garten Küche Fenster Schule Werkstatt", "fr": "rivière maison jardin fenêtre marché école atelier cuisine", "es": "puente torre jardín cocina ventana mercado escuela taller"}
+_ASKS = {"en": "Draw a chart of the {} and the {} with arrows to the {}: {}.", "de": "Zeichne ein Bild mit dem {} und der {} und führe zu {}: {}.", "fr": "Dessine un schéma avec le {} et la {} pour les {} : {}.", "es": "Dibuja un mapa con el {} y la {} para los {}: {}."}
+
+
+def built_in(seed: int = 7) -> list[tuple[str, str]]:
+    """Sound pairs for tables that hold too few of their own."""
+    rng, out = random.Random(seed), []
+    for k in range(BUILT_IN):
+        lang = sorted(_THINGS)[k % 4]
+        chosen = rng.choices(_THINGS[lang].split(), k=7)
+        if k % 3:
+            parts = "".join(f'<rect x="{rng.randint(1, 900)}" y="{rng.randint(1, 900)}" width="80" height="40"/><text x="{rng.randint(1, 900)}" y="9">{w}</text>' for w in chosen)
+            target = _shell(rng, parts)
+        else:
+            nodes = ",".join(f'{{"id":"n{n}","kind":"box","label":"{w}"}}' for n, w in enumerate(chosen))
+            target = f'{{"schema_version":"0.1","diagram_type":"process","title":"{chosen[0]}","nodes":[{nodes}],"edges":[],"groups":[]}}'
+        out.append((_ASKS[lang].format(*chosen[:3], ", ".join(chosen)), target))
+    return out
+
+
 def fit(base: list[tuple[str, str]], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds from pairs that are mostly sound.
 
@@ -308,6 +331,8 @@ def fit(base: list[tuple[str, str]], seed: int = 5) -> tuple[np.ndarray, np.ndar
     goes without them.
     """
     base = [pair for pair in base if looks_like(pair[1]) != "bare"]
+    if len(base) < LEAST:
+        base = base + built_in()
     features = Features()
     cut = int(len(base) * (1 - HELD_OUT))
     for last in (False, True):
@@ -342,14 +367,14 @@ def defects(records: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     Each target is judged by the classifier, whole, in windows of its running text; ``empty`` needs both to show nothing, any
     other defect of one target is enough, the surest is given. Null prompts count as
-    empty texts; an empty table gives no rows.
+    empty texts; an empty table gives no rows. A table with fewer than ``LEAST`` pairs to fit
+    on is judged by built-in pairs besides; blank targets need no fit.
     """
     spark = records.sparkSession
     schema = "id string, defect string"
-    base = _sample(records, sample)
-    if len(base) < 8:
+    if records.isEmpty():
         return spark.createDataFrame([], schema)
-    weights, limits = fit(base)
+    weights, limits = fit(_sample(records, sample))
     shared = spark.sparkContext.broadcast((weights.astype(np.float32), limits))  # WIDTH rows, whatever the data
 
     def judge(batches):

@@ -307,6 +307,13 @@ def test_a_late_refusal_counts_in_long_texts():
             assert with_it[refusal] > without[refusal] + 2 and (boxes in form or with_it[refusal] > 0)
 
 
+def test_small_tables_are_judged_too(spark):
+    _, prompt, svg = defect_base(4)[0]
+    rows = [{"id": "a", "prompt": prompt}, {"id": "b", "prompt": prompt, "svg": " ", "diagram_ir": ""}, {"id": "c", "prompt": prompt, "svg": svg}, {"id": "d", "prompt": prompt, "svg": "I'm sorry, but I cannot draw this bridge."}]
+    got = {r.id: r.defect for r in pair_defects.defects(records(spark, *rows)).collect()}
+    assert got == {"a": "empty", "b": "empty", "d": "refusal"}
+
+
 # packing, mixing, subjects
 
 
