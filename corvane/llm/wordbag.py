@@ -77,12 +77,14 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes)
     columns.append(pa.array([small_tokens[ends[2 * k] - sizes[2 * k] : ends[2 * k]].tobytes() for k in range(n)], pa.binary()))
     columns.append(pa.array(sizes[1::2].astype(np.int32)))
     bags, at = [], 0
-    small, count16 = (h & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(c, 65535).astype("<u2")
+    small = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
     for i in range(n):
         parts = []
         for size in (lens[2 * i], lens[2 * i + 1]):
             order = np.argsort(small[at : at + size])
-            parts += [np.uint32(size).tobytes(), small[at : at + size][order].tobytes(), count16[at : at + size][order].tobytes()]
+            counts = c[at : at + size][order]
+            wide = int(counts.max() > 65535)
+            parts += [np.uint32(size | wide << 31).tobytes(), small[at : at + size][order].tobytes(), counts.astype("<u4" if wide else "<u2").tobytes()]
             at += size
         bags.append(b"".join(parts))
     columns.append(pa.array(bags, pa.binary()))
@@ -117,8 +119,10 @@ def bags(records: DataFrame, flag: str | None = None) -> DataFrame:
 
 
 def _part(bag: bytes, at: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words, counts and the end of one text; the upper bit of the size tells of four bytes a count."""
     n = int(np.frombuffer(bag, "<u4", 1, at)[0])
-    return np.frombuffer(bag, "<u4", n, at + 4), np.frombuffer(bag, "<u2", n, at + 4 + 4 * n), at + 4 + 6 * n
+    wide, n = n >> 31, n & 0x7FFFFFFF
+    return np.frombuffer(bag, "<u4", n, at + 4), np.frombuffer(bag, "<u4" if wide else "<u2", n, at + 4 + 4 * n), at + 4 + (8 if wide else 6) * n
 
 
 def likeness(a: bytes, b: bytes) -> tuple[float, float]:

@@ -194,6 +194,12 @@ def test_near_pairs_at_the_threshold_are_all_found(spark, monkeypatch, chunk):
     assert {r.id for r in near_duplicates.record_links(records(spark, *rows)).filter("n_links > 0").collect()} == {i for p in want for i in p}
 
 
+def test_counts_above_two_bytes_are_told_apart():
+    _, columns = wordbag.sketch(["1", "2", "3"], ["p"] * 3, ["a " * 70_000 + "b", "a " * 200_000 + "b", "a " * 9 + "b"], wordbag._Hashes())
+    bags = columns[-1].to_pylist()
+    assert wordbag.likeness(bags[0], bags[1]) == (1.0, 2 * 70_001 / 270_002) and wordbag.likeness(bags[1], bags[2]) == (1.0, 20 / 200_011) and wordbag.likeness(bags[1], bags[1]) == (1.0, 1.0)
+
+
 def test_overlaps_at_the_threshold_are_all_found(spark):
     rows = threshold_table()
     want = brute(rows)
