@@ -47,7 +47,7 @@ def ir_label(spark, sf_dir):
 
 @query()
 def ir_canonicalize(spark, sf_dir):
-    return M.canonical(_records(spark, sf_dir), 8, 8)
+    return M.canonical(_records(spark, sf_dir))
 
 
 @query()

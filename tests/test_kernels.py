@@ -108,6 +108,19 @@ def test_canonical_documents_merge_rows_and_keep_edges_between_them():
     assert len(out["edges"]) == report["canonical_nodes"] - 1 and out["groups"][0]["id"] == "g001"
 
 
+def test_canonical_query_keeps_documents_within_the_default_budgets(spark, tmp_path):
+    from corvane.plans import catalog
+
+    nodes = [{"id": f"n{k}", "kind": "box", "label": f"L{k}", "metadata": {"bbox": [100 * (k % 2), 100 * (k // 2), 50, 20]}} for k in range(40)]
+    edges = [{"id": f"e{k}", "source": f"n{k}", "target": f"n{k + 1}"} for k in range(39)]
+    whole = doc(nodes=nodes, edges=edges)
+    spark.createDataFrame([("a", json.dumps(whole))], "id string, diagram_ir string").write.parquet(f"{tmp_path}/training_records.parquet")
+    (row,) = catalog.QUERIES["ir_canonicalize"](spark, str(tmp_path)).collect()
+    assert (row.canonical_nodes, row.canonical_edges, row.merged_shapes) == (40, 39, 0)
+    _, small = L.canonicalize(D.read(whole), 8, 8)
+    assert small["canonical_nodes"] <= 16 and small["canonical_edges"] == 8
+
+
 def test_contracts_on_generated_text():
     good = "```json\n" + json.dumps(doc()) + "\n```"
     score = L.contract(good, ["One\ntwo", "missing"], [("One\ntwo", ""), ("a", "b")])
