@@ -28,6 +28,13 @@ def safe_rate(numerator: Column, denominator: Column, empty: float = 0.0) -> Col
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(empty))
 
 
+def exact_mean(value: Column, digits: int = 6) -> Column:
+    """An aggregate: the mean of numbers rounded to ``digits``, half up, summed as whole numbers so that their order does not matter."""
+    unit, n = 10**digits, F.count(value)
+    total = F.sum(F.round(value * F.lit(float(unit))).cast("long"))
+    return F.call_function("div", 2 * total + n, F.nullif(2 * n, F.lit(0))) / F.lit(float(unit))
+
+
 def word_count(value: Column) -> Column:
     """Runs of non-blank characters; 0 for null."""
     return F.coalesce(F.size(F.regexp_extract_all(value, F.lit(r"\S+"), F.lit(0))), F.lit(0))

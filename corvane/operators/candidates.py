@@ -37,12 +37,18 @@ def is_valid() -> Column:
 
 
 def checked(candidates: DataFrame, strict: bool = False) -> DataFrame:
-    """Valid rows; with ``strict`` the first invalid row fails the query instead."""
+    """Valid rows; with ``strict`` the first invalid row in order of arrival fails the query instead.
+
+    Which row is named does not depend on the partitioning: it is one aggregate over the
+    invalid rows, read before any row comes out.
+    """
     rows = coerced(candidates)
     if not strict:
         return rows.filter(is_valid())
-    failed = F.concat(F.lit("invalid candidate "), F.col("candidate_id"))
-    return rows.withColumn("candidate_id", F.when(is_valid(), F.col("candidate_id")).otherwise(F.raise_error(failed)))
+    order = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ARRIVAL])
+    first = rows.filter(~is_valid()).agg(F.min_by("candidate_id", order)).scalar()
+    failed = F.raise_error(F.concat(F.lit("invalid candidate "), first))
+    return rows.withColumn("candidate_id", F.when(first.isNull(), F.col("candidate_id")).otherwise(failed))
 
 
 def content_key() -> Column:
@@ -140,15 +146,19 @@ def manifest(candidates: DataFrame) -> DataFrame:
 def transition(candidates: DataFrame, sources: list[str], limit: int, skip_fetched: bool = True) -> DataFrame:
     """``candidate_id, next_status``: the first ``limit`` eligible rows are to be fetched, all others pass.
 
-    Numbering stops at ``limit``: the rows to fetch are a top-k, met by a bounded broadcast.
+    Rows are numbered where they are read, so of identical redelivered rows no more than
+    ``limit`` are taken. Row numbers last only where rows stay: ``candidates`` must be read
+    from a table by filters and projections (``Workspace.save`` makes one of any other plan).
+    The rows to fetch are a top-k, met by a broadcast of ``limit`` numbers.
     """
-    eligible = F.col("source").isin(sources)
+    eligible = F.coalesce(F.col("source").isin(sources), F.lit(False))
     if skip_fetched:
-        eligible &= F.col("fetch_status") != "fetched"
+        eligible &= F.coalesce(F.col("fetch_status") != "fetched", F.lit(True))
+    numbered = candidates.withColumn("_row", F.monotonically_increasing_id())
     order = [F.col(c).asc_nulls_first() for c in ARRIVAL]
-    due = candidates.filter(eligible).orderBy(*order).limit(limit).select("candidate_id", "created_at", "fetch_status").distinct().withColumn("due", F.lit(True))
-    out = candidates.join(F.broadcast(due), ["candidate_id", "created_at", "fetch_status"], "left")
-    return out.select("candidate_id", "source", "fetch_status", F.when(F.col("due"), "to_fetch").otherwise(F.col("fetch_status")).alias("next_status"))
+    due = numbered.filter(eligible).orderBy(*order, "_row").limit(limit).select("_row").withColumn("_due", F.lit(True))
+    out = numbered.join(F.broadcast(due), "_row", "left")
+    return out.select("candidate_id", "source", "fetch_status", F.when(F.col("_due"), "to_fetch").otherwise(F.col("fetch_status")).alias("next_status"))
 
 
 def allocations(spark, total: int, weights: dict[str, float] | None = None) -> DataFrame:

@@ -26,13 +26,13 @@ def _split_sql(x: str, percent: int = 10) -> str:
     return f"CASE WHEN {MD5.format(x=x)} < {percent} THEN 'val' ELSE 'train' END"
 
 
-@query(f"""WITH {COERCED}, {FIRST} SELECT source, target_format, {_split_sql('candidate_id')} AS split, count(*) AS n, round(avg(priority_score),6) AS avg_priority
+@query(f"""WITH {COERCED}, {FIRST} SELECT source, target_format, {_split_sql('candidate_id')} AS split, count(*) AS n, ((2 * sum(CAST(round(priority_score*1e6) AS BIGINT)) + count(*)) // (2 * count(*)))::BIGINT / 1e6::DOUBLE AS avg_priority
  FROM first_rows GROUP BY ALL""")
 def corpus_flagship(spark, sf_dir):
     """Valid candidates, first of each content, split and counted."""
     kept = C.dedupe(C.checked(table(spark, sf_dir, "corpus_candidates")))
     split = splits.split_by(splits.md5_bucket(F.col("candidate_id")), 10).alias("split")
-    return kept.groupBy("source", "target_format", split).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("priority_score"), 6).alias("avg_priority"))
+    return kept.groupBy("source", "target_format", split).agg(F.count(F.lit(1)).alias("n"), S.exact_mean(F.col("priority_score")).alias("avg_priority"))
 
 
 @query(f"""WITH {COERCED} SELECT 'cand-' || substr(sha256(source || chr(10) || uri),1,20) AS stable_id, candidate_id, source, uri, title, caption, priority_score, fetch_status, ({VALID}) AS valid FROM coerced""")
@@ -185,8 +185,8 @@ def allocation_largest_remainder(spark, sf_dir):
     return C.allocations(spark, 50_003)
 
 
-@query(f"""WITH {COERCED}, e AS (SELECT * FROM coerced WHERE source='wikimedia' AND fetch_status<>'fetched' ORDER BY {ARRIVAL} LIMIT 100), d AS (SELECT DISTINCT candidate_id, created_at, fetch_status FROM e)
- SELECT c.candidate_id, c.source, c.fetch_status, CASE WHEN d.candidate_id IS NOT NULL THEN 'to_fetch' ELSE c.fetch_status END AS next_status FROM coerced c LEFT JOIN d ON c.candidate_id=d.candidate_id AND c.created_at=d.created_at AND c.fetch_status=d.fetch_status""")
+@query(f"""WITH {COERCED}, e AS (SELECT *, source='wikimedia' AND fetch_status<>'fetched' AS due FROM coerced), k AS (SELECT *, row_number() OVER (PARTITION BY due ORDER BY {ARRIVAL}) AS nth FROM e)
+ SELECT candidate_id, source, fetch_status, CASE WHEN due AND nth <= 100 THEN 'to_fetch' ELSE fetch_status END AS next_status FROM k""")
 def fetch_transition(spark, sf_dir):
     """The next hundred wikimedia rows to fetch; all others pass unchanged."""
     return C.transition(C.coerced(table(spark, sf_dir, "corpus_candidates")), ["wikimedia"], 100)

@@ -28,11 +28,15 @@ class _Reader(DataSourceReader):
                 return
             for row in rows:
                 yield partition.value, number, json.dumps(row, sort_keys=True)
+        if self.page(partition.value, self.pages):
+            raise ValueError(f"slice {partition.value} has more than {self.pages} pages")
 
 
 def paged(spark: SparkSession, name: str, slices: list[str], page: Callable[[str, int], list], pages: int = 1000) -> DataFrame:
     """``slice, page, payload`` of an index that ``page(slice, number)`` reads, until a page is empty.
 
+    A slice with more than ``pages`` pages fails the query; nothing is dropped.
+
     ``page`` is injected: a client for papers by month, repositories by query, or a fake.
     """
 

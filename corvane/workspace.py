@@ -32,17 +32,18 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
-def spread(df: DataFrame, least: int = 1 << 20) -> DataFrame:
-    """Rows over all cores where the input is too small to be split for them.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has fewer splits than there are cores, whatever its size.
 
-    One file of one row group is read by one task, and so would be every kernel over it.
-    The plan's own size estimate decides: only what is far below a full split a core moves.
+    A split is never smaller than the cost of opening a file, so the plan's own size
+    estimate over that cost is the number of splits a table can be read in. A table
+    with at least one a core is read as it is: nothing large is ever moved.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return df.repartition(cores) if least <= size < cores * split // 32 else df
+    least = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+    return df.repartition(cores) if size < cores * least else df
 
 
 class Workspace:
