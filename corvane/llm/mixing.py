@@ -113,3 +113,10 @@ def mix(documents: DataFrame, targets: DataFrame, **tokenizer) -> tuple[DataFram
     whole = F.sum("used_tokens").over(Window.partitionBy(F.lit(1)))  # one row a listed source
     share = F.when(whole > 0, F.round(F.col("used_tokens") / whole, 6)).otherwise(0.0)
     return used, report.select("source", "target_share", "max_repeats", "available_tokens", "used_tokens", "most_uses", share.alias("actual_share"))
+
+
+def invariants(used: DataFrame, report: DataFrame) -> DataFrame:
+    """``source, used_too_often, used_twice`` of a mixture: documents above their source's cap, and those with several rows."""
+    per = used.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("uses").alias("uses"))
+    met = report.select("source", "max_repeats").join(per, "source", "left")
+    return met.groupBy("source").agg(F.count_if(F.col("uses") > F.col("max_repeats")).cast("int").alias("used_too_often"), F.count_if(F.col("n") > 1).cast("int").alias("used_twice"))

@@ -83,6 +83,12 @@ def _ranked(items: DataFrame, workspace: Workspace, total: int) -> DataFrame:
     return numbered.join(offsets, ["profile", "size", "salt"]).select("profile", "doc_id", "piece", "start", "size", (F.col("offset") + F.col("k") - 1).alias("nth"))
 
 
+def _profiles(containers: DataFrame) -> list[tuple[str, int]]:
+    """Profiles with their capacity, the largest where one is listed twice."""
+    rows = containers.filter("profile IS NOT NULL AND capacity_tokens > 0").groupBy("profile").agg(F.max("capacity_tokens").alias("c")).collect()
+    return sorted((r["profile"], int(r["c"])) for r in rows)
+
+
 def pack(documents: DataFrame, containers: DataFrame, **tokenizer) -> DataFrame:
     """``profile, container_id, doc_id, piece, start, tokens``: where each piece lies.
 
@@ -95,7 +101,7 @@ def pack(documents: DataFrame, containers: DataFrame, **tokenizer) -> DataFrame:
     spark = documents.sparkSession
     workspace = Workspace(spark, "packing")
     sizes = workspace.save(token_counts(documents.filter("doc_id IS NOT NULL"), ["doc_id"], **tokenizer).filter("tokens > 0"), "sizes")
-    profiles = [(r["profile"], int(r["capacity_tokens"])) for r in containers.filter("capacity_tokens > 0").select("profile", "capacity_tokens").distinct().collect()]
+    profiles = _profiles(containers)
     cut = sizes.select("doc_id", "tokens", F.explode(F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(c).alias("capacity")) for p, c in profiles])).alias("c")) if profiles else None
     if cut is None:
         return spark.createDataFrame([], "profile string, container_id string, doc_id long, piece int, start long, tokens long")
@@ -122,15 +128,16 @@ def pack(documents: DataFrame, containers: DataFrame, **tokenizer) -> DataFrame:
             bin_at += times
     order = sorted(range(len(keys)), key=lambda k: keys[k])
     plan = tuple(np.array(x, np.int64) for x in ([keys[k][0] for k in order], [keys[k][1] for k in order], [keys[k][2] for k in order], [first[k] for k in order], [width[k] for k in order]))
+    reach = max((c for _, c in profiles), default=0) + 1  # profile and length as one number: no length can run over
     shared = spark.sparkContext.broadcast((names, plan))  # bounded by the capacities
 
     def place(batches):
         names, (who, length, start, first, width) = shared.value
-        code = (who << np.int64(56)) | (length << np.int64(40))
+        code = who * np.int64(reach) + length
         for batch in batches:
             profile = np.array([names[p] for p in batch.column(0).to_pylist()], np.int64)
             size, nth = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-            want = (profile << np.int64(56)) | (size << np.int64(40))
+            want = profile * np.int64(reach) + size
             lo, hi = np.searchsorted(code, want, "left"), np.searchsorted(code, want, "right")
             at = lo
             while True:  # binary search of the last start that is not beyond nth
@@ -156,3 +163,28 @@ def fill_report(packed: DataFrame, containers: DataFrame) -> DataFrame:
     used = packed.groupBy("profile").agg(F.countDistinct("container_id").alias("containers"), F.sum("tokens").alias("tokens"))
     out = used.join(F.broadcast(containers.select("profile", F.col("capacity_tokens").cast("long").alias("capacity_tokens"))), "profile")
     return out.select("profile", "containers", "tokens", "capacity_tokens", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6).alias("fill"), F.ceil(F.col("tokens") / F.col("capacity_tokens")).alias("fewest_containers"))
+
+
+def invariants(documents: DataFrame, containers: DataFrame, **tokenizer) -> DataFrame:
+    """``profile, overfull, uncovered, divided`` of a packing of ``documents``; all but the first are 0 if it is right.
+
+    ``overfull`` counts containers above their capacity, ``uncovered`` documents whose
+    pieces do not follow each other from the first to the last token, ``divided`` those
+    in several pieces although they fit into one container.
+    """
+    spark = documents.sparkSession
+    packed = Workspace(spark, "invariants").save(pack(documents, containers, **tokenizer), "packed")
+    listed = _profiles(containers)
+    if not listed:
+        return spark.createDataFrame([], "profile string, overfull int, uncovered int, divided int")
+    profiles = spark.createDataFrame(listed, "profile string, capacity long")
+    sizes = token_counts(documents.filter("doc_id IS NOT NULL"), ["doc_id"], **tokenizer).filter("tokens > 0").withColumnRenamed("tokens", "size")
+    fill = packed.groupBy("profile", "container_id").agg(F.sum("tokens").alias("t")).join(profiles, "profile")
+    over = fill.groupBy("profile").agg(F.count_if(F.col("t") > F.col("capacity")).cast("int").alias("overfull"))
+    # pieces that start where those before them end: n pieces cover their span without gap or overlap
+    pieces = packed.groupBy("profile", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.min("start").alias("lo"), F.max(F.col("start") + F.col("tokens")).alias("hi"), F.countDistinct("start").alias("starts"))
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(c).cast("long").alias("capacity")) for p, c in listed])).alias("c")
+    held = sizes.select("doc_id", "size", each).select("doc_id", "size", "c.*").join(pieces, ["profile", "doc_id"], "full")
+    whole = (F.col("lo") == 0) & (F.col("hi") == F.col("size")) & (F.col("t") == F.col("size")) & (F.col("starts") == F.col("n"))
+    checked = held.groupBy("profile").agg(F.count_if(~F.coalesce(whole, F.lit(False))).cast("int").alias("uncovered"), F.count_if((F.col("n") > 1) & (F.col("size") <= F.col("capacity"))).cast("int").alias("divided"))
+    return over.join(checked, "profile", "full").select("profile", "overfull", "uncovered", "divided")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import format_copies, mixing, near_duplicates, packing, pair_defects, related_splits, split_overlap, subjects
+from corvane.llm import format_copies, mixing, near_duplicates, packing, pair_defects, related_splits, split_overlap, sql, subjects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +16,9 @@ ORACLE: dict[str, str] = {}
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
+    text = getattr(sql, function.__name__.upper(), None)
+    if text:
+        ORACLE[function.__name__] = text
     return function
 
 
@@ -41,6 +44,12 @@ def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related_splits.shares_reached(related_splits.assign(_table(spark, sf_dir, "training_records")))
 
 
+@query
+def p1_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records assigned, groups found in two of the new splits, records without one."""
+    return related_splits.invariants(related_splits.assign(_table(spark, sf_dir, "training_records")))
+
+
 @query
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every further copy of a drawing with the first of its set."""
@@ -96,6 +105,12 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(packing.pack(_table(spark, sf_dir, "documents"), containers), containers)
 
 
+@query
+def p6_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts above their capacity, documents not covered exactly once, documents divided without need."""
+    return packing.invariants(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "container_sizes"))
+
+
 @query
 def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document is used."""
@@ -108,6 +123,13 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "source_targets"))[1]
 
 
+@query
+def p7_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each listed source that are used more often than allowed, or listed twice."""
+    used, report = mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "source_targets"))
+    return mixing.invariants(used, report)
+
+
 @query
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with each of its subjects."""

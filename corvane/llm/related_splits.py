@@ -126,3 +126,11 @@ def shares_reached(assigned: DataFrame, shares: dict[str, float] | None = None)
     counts = assigned.groupBy("new_split").agg(F.count(F.lit(1)).alias("records"))
     everything = F.sum("records").over(Window.partitionBy(F.lit(1)))  # one row a split
     return counts.select("new_split", "records", F.round(F.col("records") / everything, 6).alias("share"), target[F.col("new_split")].alias("target_share"))
+
+
+def invariants(assigned: DataFrame) -> DataFrame:
+    """One row, ``records, divided_groups, unassigned`` of an assignment; the last two are 0 if it is right."""
+    groups = assigned.filter("component IS NOT NULL").groupBy("component", "new_split").agg(F.count(F.lit(1)).alias("n")).groupBy("component").agg(F.count(F.lit(1)).alias("splits"), F.sum("n").alias("n"))
+    divided = groups.agg(F.count_if(F.col("splits") > 1).cast("int").alias("divided_groups"))
+    counts = assigned.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("new_split").isNull()).cast("int").alias("unassigned"))
+    return counts.select("records", divided.scalar().alias("divided_groups"), "unassigned")

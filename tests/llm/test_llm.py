@@ -368,6 +368,21 @@ def test_every_token_is_packed_once(spark):
     assert packing.pack(docs.limit(0), sizes).count() == 0 and packing.pack(docs, sizes.limit(0)).count() == 0
 
 
+def test_long_capacities_and_many_profiles_never_overfill(spark):
+    rng = random.Random(5)
+    sizes = [rng.choice([rng.randint(1, 90_000), rng.randint(60_000, 140_000), 65_536, 70_000]) for _ in range(24)]
+    docs = spark.createDataFrame([(k, " a" * n) for k, n in enumerate(sizes)], "doc_id long, text string")
+    few = spark.createDataFrame([("big", 131_072), ("mid", 40_000), ("mid", 30_000), (None, 7), ("none", 0)], "profile string, capacity_tokens int")
+    assert sorted(tuple(r) for r in packing.invariants(docs, few).collect()) == [("big", 0, 0, 0), ("mid", 0, 0, 0)]
+    assert {(r.profile, r.containers >= r.fewest_containers) for r in packing.fill_report(packing.pack(docs, few), few.filter("capacity_tokens > 30000")).collect()} == {("big", True), ("mid", True)}
+    small = spark.createDataFrame([(k, " a" * rng.randint(0, 300)) for k in range(150)], "doc_id long, text string")
+    many = spark.createDataFrame([(f"p{k}", 10 + k) for k in range(200)], "profile string, capacity_tokens int")
+    checked = packing.invariants(small, many).collect()
+    assert len(checked) == 200
+    assert all((r.overfull, r.uncovered, r.divided) == (0, 0, 0) for r in checked)
+    assert packing.invariants(small, many.filter("false")).count() == 0
+
+
 def test_mixtures_reach_their_shares(spark):
     rng = random.Random(9)
     rows = [(k, "word " * rng.randint(3, 30), ["Big One", "big-one ", "small", "other"][min(3, rng.randrange(12))]) for k in range(2400)] + [(9001, None, "small"), (9002, "x", None), (None, "x", "small")]
