@@ -2,189 +2,34 @@
 
 from __future__ import annotations
 
-import random
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.languages import language_of
 from corvane.llm.pair_features import LABELS, SPEECH, WIDTH, Features, looks_like
+from corvane.llm.pair_spoiling import built_in, spoiled
 from corvane.workspace import spread
 
 DEFECTS = ["empty", "truncated", "refusal", "copied_prompt", "other_language"]
-#: Most rows the classifier is fitted on before they are spoiled.
-SAMPLE = 4000
-#: Part of the fitting rows kept for the thresholds.
+#: Most pairs the classifier is fitted on before they are spoiled, and most characters of one of them; all pairs are judged whole.
+SAMPLE, FIT_CHARS = 4000, 1 << 17
+#: Pairs spoiled in one task.
+FIT_PART = 250
+#: Part of the fitting pairs kept for the thresholds.
 HELD_OUT = 0.25
 #: Weight of a sound held-out row when the thresholds are set.
 SOUND_WEIGHT = 8.0
+#: Part of the best F1 that any threshold in the range reaches whose middle is taken.
+NEAR_BEST = 0.998
 #: Windows of a sound text that are fitted on, spread evenly; all are judged.
 FIT_WINDOWS = 4
-#: Part of the fitting rows that get a long text before a refusal, and a harmless one.
-LONG = 0.3
 #: Sampled pairs below which built-in ones are fitted on too, and their number.
 LEAST, BUILT_IN = 8, 240
-#: Thresholds stay this close to even odds, as some held-out rows are defective unseen.
-LIMITS = (0.0, 0.5)
-
-# How refusals are put, in parts.
-REFUSALS = {
-    "en": (["I'm sorry, but", "Sorry,", "Unfortunately", "Apologies:", "Thanks for asking, however", "As an assistant", "Hm,", ""],
-           ["I can't help with a drawing of {}", "I cannot draw {}", "I am unable to produce the picture for {}", "I must decline to sketch {}", "I won't be making {}", "drawing {} is not something I will do", "this request about {} has to be declined"],
-           [".", ", since it may not be appropriate.", ". Please ask for something else.", ". Would a short text help instead?", ", it goes beyond what I may output."]),
-    "de": (["Es tut mir leid, aber", "Leider", "Entschuldigung,", "Als Assistent", ""],
-           ["kann ich {} nicht zeichnen", "werde ich {} nicht darstellen", "ist eine Grafik zu {} für mich nicht möglich", "muss ich die Anfrage zu {} ablehnen", "darf ich {} nicht erstellen"],
-           [".", ", da es unpassend sein könnte.", ". Bitte frage etwas anderes.", ". Hilft stattdessen ein kurzer Text?"]),
-    "fr": (["Je suis désolé, mais", "Désolé,", "Malheureusement", "En tant qu'assistant", ""],
-           ["je ne peux pas dessiner {}", "je ne ferai pas {}", "il m'est impossible de produire la figure {}", "je dois refuser la demande sur {}", "je ne suis pas en mesure de représenter {}"],
-           [".", ", car ce serait déplacé.", ". Demande autre chose.", ". Un court texte aiderait-il ?"]),
-    "es": (["Lo siento, pero", "Por desgracia", "Perdona,", "Como asistente", ""],
-           ["no puedo dibujar {}", "no voy a representar {}", "me resulta imposible producir la figura {}", "debo rechazar la petición sobre {}", "no me es posible hacer {}"],
-           [".", ", ya que podría ser inapropiado.", ". Pide otra cosa.", ". ¿Ayudaría un texto breve?"]),
-}
-# How a response says that it leaves parts out.
-OMISSIONS = [
-    "remaining {} boxes omitted for brevity", "rest of the arrows go here", "... and so on for the other {} shapes", "TODO: draw the other {} nodes", "other elements omitted", "{} more nodes follow", "the rest is left out",
-    "weitere {} Kästen folgen hier", "übrige Pfeile ausgelassen", "Rest gekürzt", "die anderen {} Formen fehlen noch",
-    "les {} autres formes sont omises", "suite des flèches ici", "reste à compléter", "et ainsi de suite pour les {} autres boîtes",
-    "faltan las otras {} cajas", "resto de flechas aquí", "demás formas omitidas", "y así con las otras {} figuras",
-]
-# Comments and labels of sound drawings that look like the above.
-HARMLESS = ["drawn by hand", "main group", "arrows", "exported from editor", "Kästen", "flèches", "cajas", "layer 1", "background", "nodes below", "end of drawing", "Pfeile", "groupe principal", "capa de fondo"]
-HARMLESS_LABELS = ["...", "Request declined", "Sorry page", "No access", "Cannot connect", "Empty", "N/A", "Anfrage abgelehnt", "Refusé", "Rechazado", "TODO list", "etc.", "None"]
-# Stand-ins for nothing.
-NOTHINGS = ["<svg/>", "<svg></svg>", "...", "-", "n/a", "N/A", "null", "None", "```svg\n```", "```\n\n```", "{}", "[]", "TBD", "?", "<svg xmlns=\"http://www.w3.org/2000/svg\"></svg>"]
-LEADS = ["", "", "Prompt: ", "> ", "Sure! ", "Here you go: ", "Gerne: ", "Bien sûr : ", "Claro: ", "You asked: "]
-_LABELS_IN = {
-    "en": ["Labels: {}.", "Write every label in {}.", "The readers only know {}, so caption the boxes in {}."],
-    "de": ["Alle Beschriftungen auf {}.", "Die Leser sprechen nur {}, bitte so beschriften."],
-    "fr": ["Écris toutes les étiquettes en {}.", "Les lecteurs ne lisent que le {} : étiquette ainsi."],
-    "es": ["Escribe todas las etiquetas en {}.", "El público solo lee {}, rotula en ese idioma."],
-}
-_NAME_IN = {"en": 0, "de": 1, "fr": 2, "es": 3}
-
-
-def _name(lang: str, spoken: str) -> str:
-    """The name of ``lang`` in the language ``spoken``."""
-    names = {"en": ["English", "Englisch", "anglais", "inglés"], "de": ["German", "Deutsch", "allemand", "alemán"], "fr": ["French", "Französisch", "français", "francés"], "es": ["Spanish", "Spanisch", "espagnol", "español"]}
-    return names[lang][_NAME_IN[spoken]]
-
-
-def _shell(rng: random.Random, inner: str = "") -> str:
-    return f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {rng.randint(400, 1900)} {rng.randint(300, 1400)}" width="{rng.randint(400, 1900)}" height="{rng.randint(300, 1400)}">{inner}</svg>'
-
-
-def _cut(text: str, rng: random.Random) -> str:
-    at = rng.randint(max(1, len(text) // 6), max(2, len(text) - 9))
-    return text[:at] + rng.choice(["", "", "", "", "...", "…"])
-
-
-def _omit(target: str, rng: random.Random) -> str:
-    note = rng.choice(OMISSIONS).format(rng.randint(2, 9))
-    if looks_like(target) == "ir":
-        ends = [m.start() for m in re.finditer(r"[{,]\s*\"id\"", target)]
-        return target[: rng.choice(ends)] + f"/* {note} */" + rng.choice(["", "]}", "}]}"]) if ends else _cut(target, rng)
-    pieces = re.split(r"(?=<(?!/)(?!svg|SVG))", target)
-    if len(pieces) < 3:
-        return _cut(target, rng)
-    kept = pieces[: max(2, int(len(pieces) * rng.uniform(0.3, 0.8)))]
-    return "".join(kept) + f"<!-- {note} --></svg>"
-
-
-def _edit(text: str, rng: random.Random) -> str:
-    """A copy but for a little."""
-    kind = rng.randint(0, 5)
-    if kind == 0:
-        return text.lower() if rng.random() < 0.5 else text.upper()
-    if kind == 1:
-        return re.sub(r" ", "  ", text)
-    words = text.split(" ")
-    if kind == 2:
-        return " ".join(w for w in words if rng.random() > 0.06)
-    if kind == 3:
-        return " ".join(words[: max(6, int(len(words) * rng.uniform(0.8, 1)))])
-    return text
-
-
-def _wrap(text: str, form: str, rng: random.Random) -> str:
-    """A text in place of a drawing."""
-    plain = text.replace('"', "&quot;").replace("<", "&lt;")
-    if form == "ir":
-        quoted = text.replace("\\", "").replace('"', '\\"').replace("\n", " ")
-        return rng.choice([text, f'{{"schema_version":"0.1","diagram_type":"process","title":"Figure","nodes":[{{"id":"n1","kind":"box","label":"{quoted}"}}],"edges":[],"groups":[]}}'])
-    return rng.choice([text, text, f"<!-- {text} -->", _shell(rng, f'<text x="{rng.randint(1, 90)}" y="{rng.randint(1, 90)}">{plain}</text>'), f"```\n{text}\n```"])
-
-
-def _refusal(lang: str, subject: str, rng: random.Random) -> str:
-    opening, core, end = (rng.choice(part) for part in REFUSALS[lang])
-    text = f"{opening} {core.format(rng.choice(['{}', chr(34) + '{}' + chr(34)]).format(subject))}{end}".strip()
-    return text[0].upper() + text[1:]
-
-
-def _subject(prompt: str, rng: random.Random) -> str:
-    words = prompt.split()
-    at = rng.randint(0, max(0, len(words) - 8))
-    return " ".join(words[at : at + rng.randint(2, 7)]).strip(".,:;")
-
-
-def _long(prompt: str, rng: random.Random) -> str:
-    """The prompt's phrases again and again in another order, over a window long."""
-    parts = [p for p in re.split(r"(?<=[.,:;!?])\s+", prompt) if p] or ["-"]
-    out, words, most = [], 0, 130 * 8 ** rng.random()
-    while words < most:
-        out.append(rng.choice(parts))
-        words += max(1, len(out[-1].split()))
-    return " ".join(out)
-
-
-def _long_refusal(prompt: str, spoken: str, form: str, rng: random.Random) -> str:
-    text = f"{_long(prompt, rng)} {_refusal(spoken, _subject(prompt, rng), rng)}"
-    if form == "svg" and rng.random() < 0.5:
-        box = "".join(f'<rect x="{rng.randint(1, 90)}" y="{rng.randint(1, 90)}" width="90" height="40"/>' for _ in range(rng.randint(2, 4)))
-        return _shell(rng, box + f'<text x="5" y="9">{text.replace("<", "&lt;")}</text>')
-    return rng.choice([text, _shell(rng, f'<text x="5" y="9">{text.replace("<", "&lt;")}</text>')])
-
-
-def spoiled(base: list[tuple[str, str]], seed: int) -> list[tuple[str, str, int]]:
-    """(prompt, target, label) made from sound pairs; the label is a place in DEFECTS or -1."""
-    rng, more = random.Random(seed), random.Random(seed + 1000)
-    out: list[tuple[str, str, int]] = []
-    by_lang: dict[str, list[str]] = {}
-    for prompt, target in base:
-        by_lang.setdefault(language_of(prompt), []).append(target)
-    for prompt, target in base:
-        spoken, form = language_of(prompt), looks_like(target)
-        others = [lang for lang in by_lang if lang != spoken]
-        out.append((prompt, target, -1))
-        out.append((prompt, _omit(target, rng) if rng.random() < 0.35 else _cut(target, rng), 1))
-        if rng.random() < 0.5:
-            out.append((prompt, _wrap(_refusal(spoken if rng.random() < 0.7 else rng.choice(list(REFUSALS)), _subject(prompt, rng), rng), form, rng), 2))
-            out.append((prompt, _wrap(rng.choice(LEADS) + _edit(prompt, rng), form, rng), 3))
-        if rng.random() < 0.3:
-            blank = rng.choice([*NOTHINGS, _shell(rng, rng.choice(["", "\n", "<g></g>", "<defs/>", "<!-- -->"])), '{"schema_version":"0.1","title":"Figure","nodes":[],"edges":[]}'])
-            out.append((prompt, blank, 0))
-        if others and rng.random() < 0.6:
-            lang = rng.choice(others)
-            out.append((prompt, rng.choice(by_lang[lang]), 4))
-            ask = rng.choice(_LABELS_IN[spoken]).replace("{}", _name(lang, spoken))
-            out.append((prompt + " " + ask, rng.choice(by_lang[lang]), -1))
-            out.append((prompt + " " + ask, target, 4))
-        if rng.random() < 0.4:  # sound answers with something odd in them, and answers to other prompts
-            if form == "svg" and "</svg>" in target.lower():
-                odd = rng.choice([f"<desc>{prompt}</desc>", f"<!-- {rng.choice(HARMLESS)} -->", f'<text x="5" y="9">{rng.choice(HARMLESS_LABELS)}</text>'])
-                at = target.find(">") + 1
-                out.append((prompt, target[:at] + odd + target[at:], -1))
-            out.append((prompt, rng.choice(by_lang[spoken]), -1))
-        if more.random() < LONG:
-            out.append((prompt, _long_refusal(prompt, spoken, form, more), 2))
-        if more.random() < LONG and form == "svg" and "</svg>" in target.lower():
-            at = target.find(">") + 1
-            out.append((prompt, target[:at] + f'<text x="5" y="9">{_long(more.choice(base)[0], more).replace("<", "&lt;")}</text>' + target[at:], -1))
-    return out
+#: Epochs of the first fits, which only find broken pairs of the sample, and of the last.
+EPOCHS = (3, 7)
+#: How often broken pairs are looked for; those found are left out of the next search.
+CLEANED = 2
 
 
 class Rows:
@@ -204,20 +49,25 @@ class Rows:
         return np.array(self.places, np.int64), np.array(self.values, np.float32), np.array(self.starts, np.int64)
 
 
-def _matrix(examples, features: Features) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
-    rows, labels = Rows(), []
-    for prompt, target, label in examples:
-        found = features(prompt, target)
-        if found is not None:
-            (places, values), windows = found
-            last = len(windows) - 1
-            # what makes a defect stands in the comments, in the first window, or at the end of a long text
-            some = {0 if "<!--" in target else last} if label >= 0 else {k * last // (FIT_WINDOWS - 1) for k in range(FIT_WINDOWS)}
-            for nth in sorted(some):
-                spoken = windows[max(0, nth)] if windows else ([], [])
-                rows.add((places + spoken[0], values + spoken[1]))
-                labels.append(label)
-    return rows.arrays(), np.array(labels, np.int64)
+def featured(pairs: list[tuple[str, str]], held: bool, seed: int):
+    """Rows of (label, first and second pair made of, whether it is an original, places, values) of spoiled pairs.
+
+    A sound text is fitted on in some of its windows; what makes a defect stands in the
+    comments, in the first window, or at the end of a long text.
+    """
+    features = Features()
+    for x in spoiled(pairs, seed, late=held):
+        found = features(x.prompt, x.target)
+        if found is None:
+            continue
+        (places, values), windows = found
+        last = len(windows) - 1
+        some = {0 if "<!--" in x.target else last} if x.label >= 0 else {k * last // (FIT_WINDOWS - 1) for k in range(FIT_WINDOWS)}
+        for nth in sorted(some):
+            spoken = windows[max(0, nth)] if windows else ([], [])
+            yield x.label, x.made_of[0], x.made_of[-1], x.original, places + spoken[0], values + spoken[1]
+        if DEFECTS[x.label] == "refusal" and x.label >= 0 and not held:  # wordings are endless: what a refusal looks like must count without them
+            yield x.label, x.made_of[0], x.made_of[-1], x.original, places, values
 
 
 def scores(weights: np.ndarray, rows: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -258,7 +108,7 @@ def _views() -> np.ndarray:
     return seen
 
 
-def fit_linear(rows, labels, epochs: int = 8, rate: float = 0.3, decay: float = 1e-5, seed: int = 3) -> np.ndarray:
+def fit_linear(rows, labels, epochs: int, rate: float = 0.3, decay: float = 1e-5, seed: int = 3, batch_rows: int = 128) -> np.ndarray:
     """One-against-rest logistic regression by Adagrad over mini-batches."""
     rng = np.random.default_rng(seed)
     places, values, starts = rows
@@ -268,8 +118,8 @@ def fit_linear(rows, labels, epochs: int = 8, rate: float = 0.3, decay: float =
     weights, squares, seen = np.zeros((WIDTH, k), np.float32), np.full((WIDTH, k), 1e-4, np.float32), _views()
     for _ in range(epochs):
         order = rng.permutation(n)
-        for lo in range(0, n, 64):
-            batch = order[lo : lo + 64]
+        for lo in range(0, n, batch_rows):
+            batch = order[lo : lo + batch_rows]
             size = ends[batch] - starts[batch]
             at = np.repeat(starts[batch] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             found, value, first = places[at], values[at][:, None], np.concatenate([[0], np.cumsum(size)[:-1]])
@@ -284,82 +134,120 @@ def fit_linear(rows, labels, epochs: int = 8, rate: float = 0.3, decay: float =
     return weights
 
 
-def thresholds(score: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """For each defect the score that gives the best F1 on held-out rows, halfway to the next.
+def thresholds(score: np.ndarray, labels: np.ndarray, sound_weight: float = SOUND_WEIGHT) -> np.ndarray:
+    """For each defect the middle of the scores that give the best F1 on held-out rows, or nearly.
 
-    A sound row weighs ``SOUND_WEIGHT``: they are that much rarer here than in a corpus.
+    The held-out rows say what the weights have not seen: other pairs in other wordings. A
+    sound row weighs ``sound_weight``: they are that much rarer here than in a corpus.
+    Nothing bounds the result; a defect without held-out rows keeps even odds.
     """
     out = np.zeros(len(DEFECTS), np.float32)
     for k in range(len(DEFECTS)):
-        if not len(labels):
+        if not (labels == k).any():
             continue
         order = np.argsort(-score[:, k], kind="stable")
         right = labels[order] == k
-        wrong = np.where(labels[order] < 0, SOUND_WEIGHT, 1.0) * ~right
+        wrong = np.where(labels[order] < 0, sound_weight, 1.0) * ~right
         hits = np.cumsum(right)
-        f1 = 2 * hits / (hits + np.cumsum(wrong) + max(1, right.sum()))
-        at = int(np.argmax(f1))
-        out[k] = np.clip(float(score[order[at], k] + score[order[min(at + 1, len(order) - 1)], k]) / 2, *LIMITS)
+        f1 = 2 * hits / (hits + np.cumsum(wrong) + right.sum())
+        near = np.nonzero(f1 >= NEAR_BEST * f1.max())[0]  # the middle of where it hardly matters: new wordings score lower
+        out[k] = (score[order[near[0]], k] + score[order[near[-1]], k]) / 2
     return out
 
 
-# Words of the built-in pairs and how they are asked for.
-_THINGS = {"en": "river bridge tower garden kitchen window market school", "de": "Fluss Brücke Turm Garten Küche Fenster Schule Werkstatt", "fr": "rivière maison jardin fenêtre marché école atelier cuisine", "es": "puente torre jardín cocina ventana mercado escuela taller"}
-_ASKS = {"en": "Draw a chart of the {} and the {} with arrows to the {}: {}.", "de": "Zeichne ein Bild mit dem {} und der {} und führe zu {}: {}.", "fr": "Dessine un schéma avec le {} et la {} pour les {} : {}.", "es": "Dibuja un mapa con el {} y la {} para los {}: {}."}
-
-
-def built_in(seed: int = 7) -> list[tuple[str, str]]:
-    """Sound pairs for tables that hold too few of their own."""
-    rng, out = random.Random(seed), []
-    for k in range(BUILT_IN):
-        lang = sorted(_THINGS)[k % 4]
-        chosen = rng.choices(_THINGS[lang].split(), k=7)
-        if k % 3:
-            parts = "".join(f'<rect x="{rng.randint(1, 900)}" y="{rng.randint(1, 900)}" width="80" height="40"/><text x="{rng.randint(1, 900)}" y="9">{w}</text>' for w in chosen)
-            target = _shell(rng, parts)
-        else:
-            nodes = ",".join(f'{{"id":"n{n}","kind":"box","label":"{w}"}}' for n, w in enumerate(chosen))
-            target = f'{{"schema_version":"0.1","diagram_type":"process","title":"{chosen[0]}","nodes":[{nodes}],"edges":[],"groups":[]}}'
-        out.append((_ASKS[lang].format(*chosen[:3], ", ".join(chosen)), target))
-    return out
+class Fitting:
+    """Featured rows of all parts, in arrays."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by([("part", "ascending"), ("nth", "ascending")]).combine_chunks()
+        column = lambda name: table.column(name).to_numpy()
+        part = column("part").astype(np.int64) << 32
+        self.label, self.held, self.original = column("label").astype(np.int64), column("held"), column("original")
+        self.first, self.second = part | column("first"), part | column("second")
+        lists = table.column("places").chunk(0) if table.num_rows else pa.array([], pa.list_(pa.int32()))
+        self.places = lists.flatten().to_numpy().astype(np.int64)
+        self.values = (table.column("values").chunk(0) if table.num_rows else pa.array([], pa.list_(pa.float32()))).flatten().to_numpy()
+        self.starts = lists.offsets.to_numpy()[:-1].astype(np.int64)
+        self.sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
 
+    def pick(self, rows: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+        """Places, values and starts of some rows, and their labels."""
+        size = self.sizes[rows]
+        first = np.cumsum(size) - size
+        at = np.repeat(self.starts[rows] - first, size) + np.arange(size.sum())
+        return (self.places[at], self.values[at], first), self.label[rows]
 
-def fit(base: list[tuple[str, str]], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds from pairs that are mostly sound.
 
-    A first fit finds the pairs of the sample that are spoiled themselves; the second
-    goes without them.
+_FITTED = "part int, nth int, held boolean, label int, first int, second int, original boolean, places array<int>, values array<float>"
+
+
+def _batch(part: int, held: bool, pairs: list[tuple[str, str]], seed: int) -> pa.Table:
+    rows = list(featured(pairs, held, seed))
+    n = len(rows)
+    names = [f.split()[0] for f in _FITTED.split(", ")]
+    return pa.Table.from_arrays([
+        pa.array([part] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([held] * n, pa.bool_()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+        pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.bool_()), pa.array([r[4] for r in rows], pa.list_(pa.int32())), pa.array([r[5] for r in rows], pa.list_(pa.float32())),
+    ], names=names)
+
+
+def featured_pairs(pairs: list[tuple[str, str]], part: int, seed: int) -> pa.Table:
+    """Featured rows of one part's pairs, the last of them held out."""
+    cut = int(len(pairs) * (1 - HELD_OUT))
+    return pa.concat_tables([_batch(2 * part, False, pairs[:cut], seed), _batch(2 * part + 1, True, pairs[cut:], seed)])
+
+
+def _fitting_rows(records: DataFrame, size: int, seed: int = 5) -> pa.Table:
+    """Featured rows of at most ``size`` sampled pairs, spoiled on the executors; their number does not depend on the data.
+
+    Pairs are drawn by the hash of their id; with fewer than ``LEAST`` of them, built-in ones are added.
     """
-    base = [pair for pair in base if looks_like(pair[1]) != "bare"]
-    if len(base) < LEAST:
-        base = base + built_in()
-    features = Features()
-    cut = int(len(base) * (1 - HELD_OUT))
-    for last in (False, True):
-        train, held = _matrix(spoiled(base[:cut], seed), features), _matrix(spoiled(base[cut:], seed + 1), features)
-        weights = fit_linear(*train, epochs=8 if last else 3)
-        limits = thresholds(scores(weights, held[0]), held[1])
-        if not last:
-            clean = (judged(weights, [features(p, t) for p, t in base]) <= limits).all(axis=1)
-            base = [pair for pair, ok in zip(base, clean, strict=True) if ok]
-            cut = int(len(base) * (1 - HELD_OUT))
-    return weights, limits
-
-
-def _sample(records: DataFrame, size: int) -> list[tuple[str, str]]:
-    """About ``size`` pairs drawn by the hash of their id, never more; for fitting only."""
+    code = F.shiftrightunsigned(F.xxhash64("id", F.lit(29)), 2)  # 62 bits
     total = records.count()
-    if not total:
-        return []
-    cut = min(1.0, 1.3 * size / total)
-    drawn = F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1 << 30)) < int(cut * (1 << 30))
-    rows = records.filter(drawn).select("id", "prompt", "svg", "diagram_ir").limit(2 * size).collect()
-    pairs = []
-    for row in sorted(rows, key=lambda r: xxhash.xxh3_64_intdigest(str(r["id"]))):
-        for target in (row["svg"], row["diagram_ir"]):
-            if row["prompt"] and target and len(target.strip()) > 200:
-                pairs.append((row["prompt"], target))
-    return pairs[:size]
+    near = records.filter(code < int(min(1.0, 1.5 * size / max(1, total)) * (1 << 62)))
+    usable = lambda c: (F.length(F.trim(c)) > 200) & (F.length(c) <= FIT_CHARS)
+    fit = near.filter((F.coalesce("prompt", F.lit("")) != "") & (F.length("prompt") <= FIT_CHARS) & (usable("svg") | usable("diagram_ir")))
+    last = fit.select(code.alias("c")).orderBy("c").limit(size).agg(F.max("c")).first()[0]
+    tables = []
+    if last is not None:
+        parts = max(1, min(size, total) // FIT_PART)
+        kept = F.array_compact(F.array(*[F.when(usable(c), F.col(c)) for c in ("svg", "diagram_ir")]))
+        rows = fit.filter(code <= last).select(code.alias("code"), F.pmod(code, F.lit(parts)).cast("int").alias("part"), "prompt", F.element_at(kept, (F.pmod(F.xxhash64("id", F.lit(31)), F.size(kept)) + 1).cast("int")).alias("target"))
+
+        def spoil(table: pa.Table) -> pa.Table:
+            rows = sorted(zip(*(table.column(c).to_pylist() for c in ("code", "prompt", "target")), strict=True))
+            part = table.column("part")[0].as_py()
+            return featured_pairs([(p, t) for _, p, t in rows if looks_like(t) != "bare"], part, seed + part)
+
+        tables.append(rows.groupBy("part").applyInArrow(lambda t: spoil(t), _FITTED).toArrow())
+    if sum(t.filter(t.column("original")).num_rows for t in tables) < LEAST:
+        tables.append(featured_pairs(built_in(BUILT_IN), -1, seed))
+    return pa.concat_tables([t.cast(tables[0].schema) for t in tables])
+
+
+def _broken(data: Fitting, use: np.ndarray) -> np.ndarray:
+    """The sampled pairs that are broken themselves, each judged by weights fitted on the other half."""
+    one, two = data.first & 1, data.second & 1
+    found = []
+    for half in (0, 1):
+        weights = fit_linear(*data.pick(np.nonzero(use & ~data.held & (one == half) & (two == half))[0]), epochs=EPOCHS[0])
+        held, labels = data.pick(np.nonzero(use & data.held)[0])
+        limits = thresholds(scores(weights, held), labels, 1.0)  # broken pairs still count as sound here
+        rows = np.nonzero(data.original & (data.held | (one != half)))[0]
+        found.append(data.first[rows[(scores(weights, data.pick(rows)[0]) > limits).any(axis=1)]])
+    return np.unique(np.concatenate(found))
+
+
+def fit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds from featured rows of pairs that are mostly sound, without all rows made of broken pairs."""
+    data = Fitting(table)
+    use = np.ones(len(data.label), bool)
+    for _ in range(CLEANED):
+        broken = _broken(data, use)
+        use = ~(np.isin(data.first, broken) | np.isin(data.second, broken))
+    weights = fit_linear(*data.pick(np.nonzero(use & ~data.held)[0]), epochs=EPOCHS[1])
+    held, labels = data.pick(np.nonzero(use & data.held)[0])
+    return weights, thresholds(scores(weights, held), labels)
 
 
 def defects(records: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -374,7 +262,7 @@ def defects(records: DataFrame, sample: int = SAMPLE) -> DataFrame:
     schema = "id string, defect string"
     if records.isEmpty():
         return spark.createDataFrame([], schema)
-    weights, limits = fit(_sample(records, sample))
+    weights, limits = fit(_fitting_rows(records, sample))
     shared = spark.sparkContext.broadcast((weights.astype(np.float32), limits))  # WIDTH rows, whatever the data
 
     def judge(batches):

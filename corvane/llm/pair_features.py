@@ -13,7 +13,7 @@ from corvane.llm.languages import asked_language
 #: Places for hashed n-grams of labels, for those of speech and endings, and for pair features.
 LABELS = 1 << 15
 SPEECH = 1 << 14
-PAIR = 96
+PAIR = 220
 WIDTH = LABELS + SPEECH + PAIR
 #: First words of a running text looked at together, and of the longest label in a drawing.
 FIRST, FIRST_OF_LABEL = 120, 60
@@ -34,10 +34,10 @@ _NODE = re.compile(r'"kind"\s*:', re.I)
 
 def looks_like(text: str) -> str:
     """svg, ir or bare."""
-    start = text.lstrip()[:400].lower()
-    if start.startswith(("{", "[")):
+    start = text.lstrip()[:1]
+    if start in ("{", "["):
         return "ir"
-    return "svg" if start.startswith("<") else "bare"
+    return "svg" if start == "<" else "bare"
 
 
 def _pieces(text: str, form: str) -> tuple[list[str], list[str], int, bool]:
@@ -75,11 +75,24 @@ def _windows(words: list[str], first: int) -> tuple[list[str], list[list[str]]]:
     return words[:first], [words[at : at + WINDOW] for at in range(0, max(1, len(words) - half), half)] if len(words) > first else []
 
 
+def _own(spoken: list[str], asked: set[str]) -> list[str]:
+    """The words with one mark for each run of words of the prompt: what is drawn is no evidence of how it is spoken of."""
+    out: list[str] = []
+    for word in spoken:
+        if word not in asked:
+            out.append(word)
+        elif not out or out[-1] != "*":
+            out.append("*")
+    return out
+
+
 def _speech(spoken: list[str]) -> tuple[list[int], list[float]]:
     places: set[int] = set()
     for a, b in zip(spoken, [*spoken[1:], "$"], strict=False):
         places.add(LABELS + zlib.crc32(f"w|{a}".encode()) % SPEECH)
         places.add(LABELS + zlib.crc32(f"b|{a}|{b}".encode()) % SPEECH)
+        if len(a) > 5:
+            places.add(LABELS + zlib.crc32(f"s|{a[:5]}".encode()) % SPEECH)
     return list(places), [len(places) ** -0.5] * len(places)
 
 
@@ -125,7 +138,8 @@ class Features:
             long = sorted((t for t in dict.fromkeys(texts) if len(t) > 40), key=len, reverse=True)
             head, windows = _windows(_WORD.findall(long[0].lower()) if long else [], FIRST_OF_LABEL)
             windows += [part for t in long[1:] for part in _windows(_WORD.findall(t.lower()), 0)[1]]
-        windows = [said + head, *windows]
+        asked = set(_WORD.findall(prompt.lower()))
+        windows = [_own(spoken, asked) for spoken in (said + head, *windows)]
         pair = self._pair(prompt, text, form, texts, comments, shapes, whole, longest)
         base = [*label, *pair], [max(1, len(label)) ** -0.5] * len(label) + [0.3] * len(pair)
         return base, [_speech(spoken) for spoken in windows if spoken]
@@ -135,7 +149,7 @@ class Features:
         on = [0]
         base = {"svg": 1, "ir": 2, "bare": 3}[form]
         on.append(base)
-        on.append(4 + min(shapes, 3))
+        on.append((216 if whole and not comments else 4) + min(shapes, 3))
         if shapes == 0:
             on.append(80 + base)
         words = sum(len(_TOKEN.findall(t)) for t in texts)
@@ -159,9 +173,14 @@ class Features:
                 continue
             common = sum((a & b).values())
             best, cover = max(best, 2 * common / (size + total)), max(cover, common / total)
+        if shapes > 1:  # how much of what the prompt names is drawn, with a comment beside it or without
+            drawn = len(a.keys() & {w for t in texts for w in _TOKEN.findall(t.lower())}) / max(1, len(a))
+            on.append(196 + 10 * bool(said.strip()) + min(9, int(drawn * 10)))
         on.append(30 + min(9, int(best * 10)))
         on.append(40 + min(9, int(cover * 10)))
         if shapes < 2:
+            # hardly a drawing: how much is said and how far it is the prompt, looked at together
+            on.append(96 + 50 * min(shapes, 1) + 10 * (0 if words == 0 else 1 if words < 3 else 2 if words < 8 else 3 if words < 25 else 4) + min(9, int(best * 10)))
             on += [50 + min(9, int(best * 10)), 60 + min(9, int(cover * 10)), 70 + min(4, len(longest) // 30)]
         else:
             on.append(75 + min(4, len(longest) // 40))

@@ -1,7 +1,10 @@
+import itertools
+import os
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,13 +300,13 @@ def test_what_is_said_late_is_looked_at():
     features = pair_features.Features()
     for target in (f"{chat} {LATE} {chat}", f"<svg><text>{chat} {LATE}</text></svg>", f"<svg>{box * 3}<text>{chat} {LATE}</text></svg>", f"<svg>{box * 3}<text>{chat} {chat}</text><text>{LATE} and no further elements</text></svg>"):
         _, windows = features("Draw a bridge.", target)
-        want = set(pair_features._speech(LATE.replace("{}", "").split())[0])
+        want = set(pair_features._speech(pair_features._own(LATE.replace("{}", "").split(), {"draw", "a", "bridge"}))[0])
         assert max(len(want & set(places)) for places, _ in windows) >= len(want) - 1
 
 
 def test_a_late_refusal_counts_in_long_texts():
     base = defect_base()
-    weights, limits = pair_defects.fit([(p, s) for _, p, s in base])
+    weights, limits = pair_defects.fit(pair_defects.featured_pairs([(p, s) for _, p, s in base], 0, 5))
     features, refusal = pair_features.Features(), pair_defects.DEFECTS.index("refusal")
     boxes = '<rect x="1" y="1" width="9" height="9"/>' * 3
     for k in (0, 40):
@@ -313,6 +316,36 @@ def test_a_late_refusal_counts_in_long_texts():
             assert with_it[refusal] > without[refusal] + 2 and (boxes in form or with_it[refusal] > 0)
 
 
+# constructions that no list of the package has
+UNSEEN = {
+    "en": ["Drawing {} is off the table for me.", "Nope, {} isn't happening.", "Apologies, {} falls outside what I do.", "I have been told never to render {}.", "Could somebody else take on {}? I won't.", "That sketch of {} is one I have to skip.", "Producing {} goes past my limits.", "I'm unwilling to put {} on paper."],
+    "de": ["Von {} lasse ich lieber die Finger.", "{} gibt es von mir nicht.", "Daraus wird nichts: {} zeichne ich keinesfalls.", "So etwas wie {} male ich grundsätzlich nie.", "Zu {} liefere ich keine Skizze.", "Mir wurde verboten, {} abzubilden.", "Das Motiv {} muss ich auslassen.", "Ich bin nicht in der Lage, {} umzusetzen."],
+    "fr": ["Désolée, {} ne sera pas dessiné par mes soins.", "Je m'abstiens de dessiner {}.", "Impossible pour moi de figurer {}.", "On m'a interdit de montrer {}.", "Je ne me charge pas de {}.", "Non, je ne fais pas {}.", "Je suis dans l'incapacité de produire {}.", "Ce sujet, {}, je dois l'écarter."],
+    "es": ["Me abstengo de dibujar {}.", "Imposible para mí plasmar {}.", "Me han vetado mostrar {}.", "No me encargo de {}.", "No, yo no hago {}.", "Soy incapaz de producir {}.", "Este tema, {}, debo descartarlo.", "Disculpa, {} queda fuera de lo que hago."],
+}
+FORMS = {
+    "bare": "{}", "svg": '<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 900 900"><text x="20" y="40">{}</text></svg>', "comment": "<!-- {} -->",
+    "ir": '{{"schema_version":"0.1","diagram_type":"process","title":"Figure","nodes":[{{"id":"n1","kind":"box","label":"{}"}}],"edges":[],"groups":[]}}',
+}
+
+
+def test_refusals_in_unseen_words_are_found_in_every_form():
+    table = "/root/testdata/sf0.01/training_records.parquet"
+    if not os.path.exists(table):
+        pytest.skip("needs the driver's tables")
+    rows = pq.read_table(table, columns=["prompt", "svg", "diagram_ir"]).to_pylist()
+    base = [(r["prompt"], t) for r in rows for t in [r["svg"] or r["diagram_ir"]] if r["prompt"] and t and len(t) > 200 and pair_features.looks_like(t) != "bare"]
+    weights, limits = pair_defects.fit(pair_defects.featured_pairs(base, 0, 5))
+    features, refusal, hits, tried = pair_features.Features(), pair_defects.DEFECTS.index("refusal"), Counter(), Counter()
+    for lang, phrases in UNSEEN.items():
+        prompts = [p for p, _ in base if language_of(p) == lang][:4]
+        for phrase, (form, shell), prompt in itertools.product(phrases, FORMS.items(), prompts):
+            over = pair_defects.judged(weights, [features(prompt, shell.format(phrase.format(" ".join(prompt.split()[4:7]).replace('"', ""))))])[0] - limits
+            hits[form] += int(over.argmax() == refusal and over[refusal] > 0)
+            tried[form] += 1
+    assert all(hits[form] >= 0.9 * tried[form] for form in FORMS), (hits, tried)
+
+
 def test_small_tables_are_judged_too(spark):
     _, prompt, svg = defect_base(4)[0]
     rows = [{"id": "a", "prompt": prompt}, {"id": "b", "prompt": prompt, "svg": " ", "diagram_ir": ""}, {"id": "c", "prompt": prompt, "svg": svg}, {"id": "d", "prompt": prompt, "svg": "I'm sorry, but I cannot draw this bridge."}]
