@@ -1,8 +1,9 @@
 """Subject areas of documents from clusters of their vectors.
 
 Documents are clustered by bisecting k-means; the leaves get their subjects from
-the terms that set them apart, compared with labelled examples. A term's weights over the
-leaves then give its weights over the subjects, sentences are scored with them, and a
+the terms that set them apart, compared with labelled examples. A subject is then a
+mixture of leaves: how often a term occurs in it is how often it does in the leaves,
+each as far as it is the subject's. Sentences are held against these mixtures, and a
 document has the subjects that enough of its sentences are on.
 """
 
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.languages import FUNCTION_WORDS, language_of
+from corvane.llm.languages import FUNCTION_WORDS
 from corvane.workspace import Workspace, spread
 
 #: Places for hashed terms in sentence models, and in the vectors that are clustered.
@@ -26,7 +27,7 @@ DIMS = 1 << 12
 LANGUAGES = sorted(FUNCTION_WORDS)
 #: Terms of sentences are told apart by the language of their document.
 ALL = len(LANGUAGES) * TERMS
-#: Levels of bisection; clusters below this part of their language are not split.
+#: Levels of bisection; clusters below this part of their language are not split. A subject of a smaller part shares leaves with others.
 LEVELS = 6
 LEAST_PART = 0.012
 #: Terms in more than this part of a language's documents tell nothing.
@@ -37,36 +38,48 @@ PASSES = 2
 SEEDS = 4000
 #: Least share of a document's sentences on subjects.
 SHARE = 0.2
-#: Passes that fit the terms' weights to the subjects of the documents they are in.
-SHARPEN = 2
 #: Log weight that chance alone may give a term, and least lead of a sentence's first subject, both as a part of the log of the number of subjects.
 LEAN = LEAD = 0.26
 #: Weight of labelled examples beside the leaves.
-LABELLED = 3.0
+LABELLED = 0.3
 
 _SENTENCE = re.compile(r"(?<=[.!?])[\s\"')\]]+|\n+|(?<=[.!?])(?=[A-ZÀ-Þ])")
-_WORD = re.compile(r"[^\W\d_]{2,}")
-_MARKUP = re.compile(r"<[^>]{0,200}>|https?://\S+|[`*_#>|\[\](){}]+")
+_WORD = re.compile(r"[^\W\d_]+")
+_MARKUP = re.compile(r"</?[a-zA-Z!][^<>]*>|https?://\S+|[`*_#>|\[\](){}]+")
 
 
 class Terms(dict):
-    """Places of words, remembered."""
+    """Words, remembered: the place, -1 for single letters, and above it a bit for each language whose function word it is."""
 
     def __missing__(self, word: str) -> int:
         if len(self) > 300_000:
             self.clear()
-        place = self[word] = xxhash.xxh3_64_intdigest(word) % TERMS
-        return place
+        spoken = sum(1 << k for k, lang in enumerate(FUNCTION_WORDS) if word in _FUNCTION[lang])
+        place = xxhash.xxh3_64_intdigest(word) % TERMS if len(word) > 1 else TERMS
+        value = self[word] = place | spoken << 16
+        return value
 
 
-def sentences(text: str, terms: Terms) -> list[list[int]]:
-    """The places of the distinct words of each sentence that has words."""
-    out = []
+_FUNCTION = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
+
+
+def parsed(text: str, terms: Terms) -> tuple[str, list[int], list[list[int]]]:
+    """The language with most function words, the places of all words, those of the distinct words of each sentence."""
+    hits, every, out = [0] * (1 << len(_FUNCTION)), [], []
     for sentence in _SENTENCE.split(_MARKUP.sub(" ", text)):
-        words = set(_WORD.findall(sentence.lower()))
-        if words:
-            out.append([terms[w] for w in words])
-    return out
+        found = [terms[w] for w in _WORD.findall(sentence.lower())]
+        for value in found:
+            hits[value >> 16] += 1
+        places = [p for p in (value & 0xFFFF for value in found) if p < TERMS]
+        if places:
+            every += places
+            out.append(list(dict.fromkeys(places)))
+    best, most = "en", 0
+    for k, lang in enumerate(_FUNCTION):
+        n = sum(hits[mask] for mask in range(len(hits)) if mask >> k & 1)
+        if n > most:
+            best, most = lang, n
+    return best, every, out
 
 
 def vectors(documents: DataFrame) -> DataFrame:
@@ -81,12 +94,11 @@ def vectors(documents: DataFrame) -> DataFrame:
         for batch in batches:
             ids, langs, places, counts, words, sizes = [], [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = [terms[w] for w in _WORD.findall(_MARKUP.sub(" ", text).lower())]
+                lang, found, parts = parsed(text, terms)
                 if found:
                     distinct, n = np.unique(np.array(found, np.int32), return_counts=True)
-                    parts = sentences(text, terms)
                     ids.append(key)
-                    langs.append(LANGUAGES.index(language_of(text)))
+                    langs.append(LANGUAGES.index(lang))
                     places.append(distinct)
                     counts.append(n.astype(np.int32))
                     words.append([t for p in parts for t in p])
@@ -108,10 +120,17 @@ class Sentences:
         flat = words.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         self.flat = flat + np.repeat(self.lang, self.size) * TERMS
 
-    def score(self, weights: np.ndarray, prior) -> np.ndarray:
+    def score(self, weights: np.ndarray) -> np.ndarray:
         if not len(self.size):
             return np.zeros((0, weights.shape[1]), np.float32)
-        return np.add.reduceat(weights[self.flat], np.cumsum(self.size) - self.size, axis=0) + prior
+        return np.add.reduceat(weights[self.flat], np.cumsum(self.size) - self.size, axis=0)
+
+    def subjects(self, weights: np.ndarray) -> np.ndarray:
+        """Subject of each sentence, the number of subjects where none leads."""
+        score = self.score(weights)
+        order = np.sort(np.concatenate([score, np.zeros((len(score), 1), np.float32)], axis=1), axis=1)
+        sure = order[:, -1] - order[:, -2] > LEAD * np.log(max(2, weights.shape[1]))
+        return np.where(sure, score.argmax(axis=1), weights.shape[1])
 
 
 def _flat(batch, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -133,9 +152,8 @@ def _assign(lang, row, folded, value, tree: list[tuple[np.ndarray, np.ndarray]])
     for children, centres in tree:
         pair = children[node]  # the first of two children, or the only one, by parent
         two = pair[:, 1] >= 0
-        left = np.bincount(row, value * centres[pair[row, 0], folded], rows)
-        right = np.bincount(row, value * centres[np.maximum(pair[row, 1], 0), folded], rows)
-        node = np.where(two & (right > left), pair[:, 1], pair[:, 0])
+        apart = centres[np.maximum(pair[row, 1], 0), folded] - centres[pair[row, 0], folded]
+        node = np.where(two & (np.bincount(row, value * apart, rows) > 0), pair[:, 1], pair[:, 0])
     return node
 
 
@@ -228,7 +246,8 @@ def bisect(docs: DataFrame, idf: np.ndarray, totals: np.ndarray, seed: int = 11)
     shared_idf = spark.sparkContext.broadcast(idf)
     each = SEEDS // len(LANGUAGES)
     cuts = F.array(*[F.lit(int(min(1.0, 1.2 * each / max(1, n)) * (1 << 30))) for n in totals])
-    drawn = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < cuts[F.col("lang")]).limit(2 * SEEDS).select("doc_id", "places", "counts", "lang")
+    code = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30))
+    drawn = docs.filter(code < cuts[F.col("lang")]).orderBy(code, "doc_id").limit(2 * SEEDS).select("doc_id", "places", "counts", "lang")
     batches = drawn.toArrow().combine_chunks().to_batches()
     if not batches:
         return [], np.arange(len(LANGUAGES))
@@ -282,104 +301,23 @@ def leaf_subjects(presence: np.ndarray, sizes: np.ndarray, examples: np.ndarray)
 
 
 def term_weights(presence: np.ndarray, sizes: np.ndarray, affinity: np.ndarray, examples: np.ndarray) -> np.ndarray:
-    """Log weight of each term for each subject over its mean, by the leaves' mixtures and the examples.
+    """Log weight of each term for each subject over its mean; what chance alone may give is cut off.
 
-    What a leaf lacks in affinity counts for no subject.
+    A subject is the mixture of leaves that ``affinity`` makes of it: the rate of a term
+    in it is the part of documents with the term in the leaves, each leaf as far as it is
+    the subject's. Labelled examples weigh in a little, for subjects without a leaf.
     """
-    rate = presence / np.maximum(sizes, 1)[:, None] * np.sqrt(sizes)[:, None]
-    mixture = np.concatenate([affinity, np.maximum(0, 1 - affinity.sum(axis=1, keepdims=True))], axis=1)
-    mass = np.maximum((mixture * np.sqrt(sizes)[:, None]).sum(axis=0), 1e-9)[:, None]
-    by_subject = mixture.T @ rate / mass
-    by_subject = by_subject / np.maximum(by_subject.sum(axis=0), 1e-9) * presence.sum(axis=0) / (presence.sum(axis=0) + 20)
-    labelled = examples / np.maximum(examples.sum(axis=1, keepdims=True), 1)
-    seen = examples.sum(axis=0)
-    by_subject[:-1] += LABELLED * labelled / np.maximum(labelled.sum(axis=0), 1e-9) * seen / (seen + 2)
-    share = (by_subject + 0.02) / (by_subject + 0.02).sum(axis=0)
-    return np.log(share[:-1] * (len(share) - 1)).astype(np.float32)
-
-
-def _first_guess(parts: Sentences, weights: np.ndarray) -> np.ndarray:
-    """Subject of each sentence by leaf weights, the number of subjects for none."""
-    scale = np.log(max(2, weights.shape[1]))
-    score = parts.score(np.maximum(weights - LEAN * scale, 0), 0)
-    order = np.sort(np.concatenate([score, np.zeros((len(score), 1), np.float32)], axis=1), axis=1)
-    sure = order[:, -1] - order[:, -2] > LEAD * scale
-    return np.where(sure, score.argmax(axis=1), weights.shape[1])
-
-
-def _totals(docs: DataFrame, run, rows: int) -> np.ndarray:
-    """Sums by (row, term) of what ``run`` yields for the sentences; the last columns count sentences by language."""
-    summed = docs.select("words", "sizes", "lang").mapInArrow(run, "at long, n double").groupBy("at").agg(F.sum("n").alias("n"))
-    table = summed.toArrow()  # rows times terms, whatever the data
-    out = np.zeros(rows * (ALL + len(LANGUAGES)), np.float64)
-    out[table.column("at").to_numpy()] = table.column("n").to_numpy()
-    return out.reshape(rows, ALL + len(LANGUAGES))
-
-
-def _sparse(counts: np.ndarray) -> pa.RecordBatch:
-    held = np.nonzero(counts)[0]
-    return pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held].astype(np.float64))], names=["at", "n"])
-
-
-def _by_document(docs: DataFrame, shared, kinds: int) -> np.ndarray:
-    """Terms by subject of the documents they are in: a stock phrase spreads over all subjects."""
-
-    def run(batches):
-        weights = shared.value
-        counts = np.zeros((kinds, ALL + len(LANGUAGES)), np.float64)
-        for batch in batches:
-            parts, rows = Sentences(*batch.columns), batch.num_rows
-            kind = _first_guess(parts, weights)
-            held = np.bincount(parts.owner * (kinds + 1) + kind, None, rows * (kinds + 1)).reshape(rows, kinds + 1)[:, :kinds]
-            mix = held / np.maximum(held.sum(axis=1, keepdims=True), 1)
-            mix = np.where(mix >= SHARE, mix, 0)
-            of = np.repeat(parts.owner, parts.size)
-            for k in range(kinds):
-                counts[k, :ALL] += np.bincount(parts.flat, mix[of, k], ALL)
-                counts[k, ALL:] += np.bincount(parts.lang, mix[parts.owner, k], len(LANGUAGES))
-        yield _sparse(counts.ravel())
-
-    return _totals(docs, run, kinds)
-
-
-def _shares(counts: np.ndarray) -> np.ndarray:
-    """Log weight of each term for each subject over its mean, from counts by document."""
-    size = np.repeat(counts[:, ALL:], TERMS, axis=1)
-    rate = counts[:, :ALL] / (size + 5.0)
-    seen = counts[:, :ALL].sum(axis=0)
+    rate = affinity.T @ presence / ((affinity * sizes[:, None]).sum(axis=0) + 5)[:, None]
+    seen = presence.sum(axis=0)
     share = rate / np.maximum(rate.sum(axis=0), 1e-12) * seen / (seen + 3)
+    labelled, known = examples / np.maximum(examples.sum(axis=1, keepdims=True), 1), examples.sum(axis=0)
+    share = share + LABELLED * labelled / np.maximum(labelled.sum(axis=0), 1e-9) * known / (known + 2)
     share = (share + 0.02) / (share + 0.02).sum(axis=0)
-    return np.log(share * len(share)).astype(np.float32).T.copy()
-
-
-def _by_sentence(docs: DataFrame, shared, kinds: int) -> np.ndarray:
-    """Terms by the class of their sentence (last row: none)."""
-
-    def run(batches):
-        weights, width = shared.value, ALL + len(LANGUAGES)
-        counts = np.zeros((kinds + 1) * width, np.int64)
-        for batch in batches:
-            parts = Sentences(*batch.columns)
-            kind = _first_guess(parts, weights)
-            counts += np.bincount(np.repeat(kind, parts.size) * width + parts.flat, None, len(counts))
-            counts += np.bincount(kind * width + ALL + parts.lang, None, len(counts))
-        yield _sparse(counts)
-
-    return _totals(docs, run, kinds + 1)
-
-
-def _bayes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log weights of terms and log priors of a naive Bayes model with presence of terms."""
-    terms, size = counts[:, :ALL], np.repeat(counts[:, ALL:], TERMS, axis=1)
-    rate = (terms + 0.5 * (terms.sum(axis=0) + 0.1) / np.maximum(1.0, size.sum(axis=0))) / (size + 0.5)
-    known = terms.sum(axis=0) >= 2
-    weights = np.where(known, np.log(rate), 0).astype(np.float32)
-    total = counts[:, ALL:].sum(axis=1)
-    return np.ascontiguousarray(weights.T), np.log((total + 1) / (total.sum() + len(total))).astype(np.float32)
+    return np.maximum(np.log(share * len(share)) - LEAN * np.log(max(2, len(share))), 0).astype(np.float32)
 
 
 def fit(documents: DataFrame, examples: DataFrame, workspace: Workspace):
-    """Vectors, subject names, sentence model (weights, priors; the last class is none); None without examples or words."""
+    """Vectors, subject names, weights of terms by subject; None without examples or words."""
     spark = documents.sparkSession
     labelled = [(r["subject"], r["text"]) for r in examples.filter("subject IS NOT NULL AND text IS NOT NULL").select("subject", "text").collect()]  # fixed in number
     names = sorted({s for s, _ in labelled})
@@ -390,7 +328,7 @@ def fit(documents: DataFrame, examples: DataFrame, workspace: Workspace):
     terms = Terms()
     example_counts = np.zeros((len(names), TERMS), np.float64)
     for subject, text in labelled:
-        for place in {t for s in sentences(text, terms) for t in s}:
+        for place in set(parsed(text, terms)[1]):
             example_counts[names.index(subject), place] += 1
     found = docs.select("lang", F.explode("places").alias("p")).groupBy("lang", "p").agg(F.count(F.lit(1)).alias("n")).toArrow()  # languages times TERMS
     frequency, totals = np.zeros((len(LANGUAGES), TERMS)), np.zeros(len(LANGUAGES), np.int64)
@@ -406,9 +344,7 @@ def fit(documents: DataFrame, examples: DataFrame, workspace: Workspace):
     weights = np.concatenate([
         term_weights(presence[root == k], sizes[root == k], affinity[root == k], example_counts).T for k in range(len(LANGUAGES))
     ])
-    for _ in range(SHARPEN):
-        weights = _shares(_by_document(docs, spark.sparkContext.broadcast(weights), len(names)))
-    return docs, names, _bayes(_by_sentence(docs, spark.sparkContext.broadcast(weights), len(names)))
+    return docs, names, weights
 
 
 def document_subjects(documents: DataFrame, examples: DataFrame, share: float = SHARE) -> DataFrame:
@@ -422,14 +358,14 @@ def document_subjects(documents: DataFrame, examples: DataFrame, share: float =
     fitted = fit(documents, examples, Workspace(spark, "subjects"))
     if fitted is None:
         return spark.createDataFrame([], schema)
-    docs, names, model = fitted
-    shared = spark.sparkContext.broadcast(model)
+    docs, names, weights = fitted
+    shared = spark.sparkContext.broadcast(weights)  # languages times TERMS rows
 
     def run(batches):
-        weights, prior = shared.value
+        weights = shared.value
         for batch in batches:
             parts, rows = Sentences(*batch.columns[1:]), batch.num_rows
-            kind = parts.score(weights, prior).argmax(axis=1)
+            kind = parts.subjects(weights)
             held = np.bincount(parts.owner * (len(names) + 1) + kind, None, rows * (len(names) + 1)).reshape(rows, len(names) + 1)[:, :-1]
             on_any = held.sum(axis=1, keepdims=True)
             doc, k = np.nonzero(held >= np.maximum(1, share * on_any - 1e-9))
