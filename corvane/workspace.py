@@ -54,11 +54,11 @@ class Workspace:
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._count = 0
 
-    def save(self, df: DataFrame, label: str = "t") -> DataFrame:
-        """Write ``df`` once and return a reader of what was written."""
+    def save(self, df: DataFrame, label: str = "t", *by: str) -> DataFrame:
+        """Write ``df`` once, in folders ``by`` some columns, and return a reader of what was written."""
         self._count += 1
         path = f"{self.path}/{self._count:03d}-{label}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._corvane_path = path
         return saved
