@@ -2,9 +2,10 @@
 
 A key is a pair of 64-bit hashes. A filter is an array of bits cut into shards; a
 partition sends only the shards it touched, compressed, and shards merge in two
-steps, so no task holds all partitions' filters. What is collected and broadcast is
-at most ``MAX_BITS`` bits (32 MiB) however many keys there are: a fuller filter only
-lets more keys through to the exact step, it never loses one.
+steps, so no task holds all partitions' filters. What is collected and broadcast at once
+is at most ``MAX_BITS`` bits (32 MiB) however many keys there are: keys that would fill
+more are cut into slices by their hash, each with a filter of its own, one after the
+other. A filter may let further keys through to the exact step, it never loses one.
 """
 
 from __future__ import annotations
@@ -32,6 +33,16 @@ def size_for(keys: int) -> int:
     return max(MIN_BITS, min(MAX_BITS, 1 << int(np.ceil(np.log2(max(1, keys * BITS_PER_KEY))))))
 
 
+def slices_for(keys: int) -> int:
+    """Filters that so many keys need to keep ``BITS_PER_KEY`` bits each."""
+    return max(1, -(-keys * BITS_PER_KEY // MAX_BITS))
+
+
+def slice_of(h2: Column, slices: int) -> Column:
+    """The slice of a key, by bits that the places in a filter hardly depend on."""
+    return F.pmod(F.shiftrightunsigned(h2, 33), F.lit(slices)).cast("int")
+
+
 def _positions(h1: np.ndarray, h2: np.ndarray, bits: int) -> np.ndarray:
     a, b = h1.astype(np.uint64), h2.astype(np.uint64) | np.uint64(1)
     steps = np.arange(PROBES, dtype=np.uint64)[:, None]

@@ -31,11 +31,20 @@ def drawing_keys(records: DataFrame) -> DataFrame:
 
 def _flagged(records: DataFrame) -> DataFrame:
     """``id, h1, h2, again``: ``again`` is true wherever the drawing may occur more than once."""
-    workspace = Workspace(records.sparkSession, "copies")
-    keys = workspace.save(drawing_keys(records), "keys")
-    bits = bloom.size_for(keys.count())
-    packed = bloom.collect(bloom.build(keys, "h1", "h2", bits), "again", bits)
-    return keys.withColumn("again", bloom.may_hold(records.sparkSession, packed, bits, F.col("h1"), F.col("h2")))
+    spark = records.sparkSession
+    workspace = Workspace(spark, "copies")
+    slices = bloom.slices_for(records.count())  # read from the footers of the files
+    keys = workspace.save(drawing_keys(records).withColumn("slice", bloom.slice_of(F.col("h2"), slices)), "keys", *["slice"] * (slices > 1))
+    out = None
+    for part in range(slices):
+        mine = keys.filter(F.col("slice") == part).drop("slice") if slices > 1 else keys.drop("slice")
+        bits = bloom.size_for(mine.count())
+        packed = bloom.collect(bloom.build(mine, "h1", "h2", bits), "again", bits)
+        probed = mine.withColumn("again", bloom.may_hold(spark, packed, bits, F.col("h1"), F.col("h2")))
+        if slices > 1:  # no plan holds more than one filter
+            probed = workspace.save(probed, "probed")
+        out = probed if out is None else out.unionByName(probed)
+    return out
 
 
 def _repeats(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from corvane.workspace import Workspace
 
 #: Wanted shares of the records.
 SHARES = {"train": 0.8, "val": 0.1, "test": 0.1}
-#: A group with more than this part of the records is placed by the driver; there are at most 1 / LARGE.
+#: Groups with more than this part of the records draw one after the other, each with the room that is left; there are at most 1 / LARGE.
 LARGE = 0.005
 
 
@@ -83,25 +86,32 @@ def crossing(records: DataFrame) -> DataFrame:
     return lookup_join(named, lookup, ["anchor"], counts, total, "left_semi").select("id")
 
 
-def assign(records: DataFrame, shares: dict[str, float] | None = None, seed: int = 17) -> DataFrame:
+def rendezvous(key: str, room: dict[str, float], size: float, seed: int) -> str:
+    """The split that wins ``key`` where each weighs as much as it has room for ``size``; the roomiest if it fits nowhere."""
+    fitting = {name: left for name, left in room.items() if left >= size} or {max(sorted(room), key=lambda name: room[name]): 1.0}
+    draw = lambda name: -math.log(((xxhash.xxh3_64_intdigest(f"{key}|{name}", seed) >> 12) + 0.5) / (1 << 52)) / fitting[name]
+    return min(sorted(fitting), key=draw)
+
+
+def assign(records: DataFrame, shares: dict[str, float] | None = None, seed: int = 17, large: float = LARGE) -> DataFrame:
     """``id, component, new_split``: whole groups by weighted rendezvous hashing.
 
-    A record without links is a group of its own. A group too large for chance to even
-    out (more than ``LARGE`` of all records, so a bounded number of them) goes to the
-    split with the most room left; the weights of the rendezvous are the room that
-    remains. Ties go to the first split by name.
+    A record without links is a group of its own. The weights are the room that a split
+    has. For a group that no chance evens out (more than ``large`` of all records, so a
+    bounded number of them) that is the room left by those before it, the largest
+    first, and a split it does not fit into has none; all others share what remains.
+    Ties go to the first split by name. With ``large`` of 1 the weights are the shares.
     """
     shares = shares or SHARES
     rows, held, labels, total = _read(records)
     everything = rows.agg(F.count(F.lit(1))).first()[0]
     sizes = held.join(labels.withColumnRenamed("node", "anchor"), "anchor").groupBy("component").agg(F.sum("n").alias("n"))
-    large = sorted(((r["n"], r["component"]) for r in sizes.filter(F.col("n") > max(1, LARGE * everything)).collect()), reverse=True)
+    ordered = sorted(((r["n"], r["component"]) for r in sizes.filter(F.col("n") > max(1, large * everything)).collect()), reverse=True)
     whole = sum(shares.values())
     room = {name: share / whole * everything for name, share in sorted(shares.items())}
     placed = {}
-    for n, component in large:
-        best = max(room, key=lambda name: room[name])
-        placed[component] = best
+    for n, component in ordered:
+        best = placed[component] = rendezvous(component, room, n, seed)
         room[best] -= n
     weights = {name: max(left, 0.0) for name, left in room.items()}
     if not any(weights.values()):

@@ -153,6 +153,18 @@ def brute(rows):
     return {tuple(sorted((a["id"], b["id"]))) for i, a in enumerate(good) for b in good[i + 1 :] if bag_alike(a["prompt"], b["prompt"]) >= 0.8 and bag_alike(a["svg"], b["svg"]) >= 0.8}
 
 
+def test_copies_in_slices_equal_copies_in_one_filter(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = records(spark, *[{"id": f"r{k:04d}", "svg": f"<svg><rect x='{rng.randint(1, 600)}'/></svg>"} for k in range(900)])
+    want = sorted(tuple(r) for r in format_copies.copies(rows).collect())
+    counted = sorted(tuple(r) for r in format_copies.collapse(rows).collect())
+    monkeypatch.setattr(bloom, "MAX_BITS", 1 << 12)
+    monkeypatch.setattr(bloom, "MIN_BITS", 1 << 10)
+    assert bloom.slices_for(900) == 3
+    assert sorted(tuple(r) for r in format_copies.copies(rows).collect()) == want
+    assert sorted(tuple(r) for r in format_copies.collapse(rows).collect()) == counted
+
+
 def test_near_pairs_and_overlaps_equal_brute_force(spark):
     rows = near_table()
     want = brute(rows)
