@@ -30,16 +30,21 @@ def records(spark, *rows):
 def test_diagram_relations_skip_broken_and_null_documents(spark):
     rows = records(spark, ("a", "p", "", ir("x", "y", edges=[("n0", "n1"), ("n0", "gone")])), ("b", "p", "", "{oops"), ("c", None, None, None), ("d", "p", "", '{"nodes":[]}'))
     docs = D.documents(rows)
-    nodes, edges = D.nodes(docs), D.edges(docs)
-    assert nodes.count() == 2 and edges.count() == 2
-    assert [tuple(r) for r in D.dangling(nodes, edges).select("id", "role", "node_id").collect()] == [("a", "target", "gone")]
-    labelled = {tuple(r)[1:] for r in D.labelled_edges(nodes, edges).collect()}
-    assert labelled == {("x", "y"), ("x", "gone")}
-    boxes = D.row_layout(D.measured(nodes), docs.select("id", F.col("doc.canvas.width").alias("canvas_width")))
-    assert [r.x for r in boxes.orderBy("pos").collect()] == [32.0, 32.0 + 40 + 48]
-    assert D.median_gaps(boxes).first().spacing == 48.0
-    point = boxes.limit(1).select("id", F.lit(1).alias("point_id"), F.lit(75.0).alias("px"), F.lit(50.0).alias("py"))
-    assert tuple(D.nearest(point, boxes).first())[2:] == ("n0", "right")
+    assert D.nodes(docs).count() == 2
+    assert [tuple(r) for r in D.dangling(docs).select("id", "role", "node_id").collect()] == [("a", "target", "gone")]
+    assert {tuple(r)[1:] for r in D.labelled_edges(docs).collect()} == {("x", "y"), ("x", "gone")}
+    laid = D.row_layout(docs)
+    assert [r.x for r in D.boxes(laid).orderBy("pos").collect()] == [32.0, 32.0 + 40 + 48]
+    assert [r.spacing for r in D.median_gaps(laid).collect()] == [48.0]
+    point = F.array(F.struct(F.lit(1).alias("point_id"), F.lit(75.0).alias("px"), F.lit(50.0).alias("py")))
+    assert [tuple(r)[2:] for r in D.nearest(laid, point).collect()] == [("n0", "right")]
+    assert D.nearest(laid, D.edge_points()).count() == 1
+    odd = records(spark, ("o", "p", "", json.dumps({"nodes": [{"id": None}, {"id": "k", "label": "L"}, {"id": "k", "label": None}], "edges": [{"id": "e", "source": None, "target": "k"}], "groups": [{"id": "g", "members": ["k", "z", None]}, {"id": "h"}]})))
+    broken = {tuple(r)[1:] for r in D.dangling(D.documents(odd)).collect()}
+    assert broken == {("edge", "e", "source", None), ("group", "g", "member", "z"), ("group", "g", "member", None)}
+    assert [tuple(r)[1:] for r in D.labelled_edges(D.documents(odd)).collect()] == [(None, "")]
+    assert D.boxes(D.row_layout(D.documents(odd))).count() == 3
+    assert D.documents(rows.limit(0)).count() == 0
 
 
 def test_near_pairs_equal_brute_force_and_greedy_is_ordered(spark):
