@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import os
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 
 def first_present(*values: Column) -> Column:
@@ -53,6 +58,73 @@ def slug(value: Column, joint: str = "_") -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(value), "[^a-z0-9]+", joint), f"^{joint}+|{joint}+$", "")
 
 
+def letter_slug(value: Column) -> Column:
+    """Lower case, each character that is no letter or digit of any script a hyphen of its own, none at the ends."""
+    return F.regexp_replace(F.regexp_replace(F.lower(value), r"[^\p{L}\p{N}]", "-"), "^-+|-+$", "")
+
+
+def file_name(value: Column) -> Column:
+    """Letters, digits, dots, hyphens and underscores; every other character becomes an underscore."""
+    return first_present(F.regexp_replace(F.regexp_replace(value, r"[^\p{L}\p{N}._-]", "_"), "^_+|_+$", ""), F.lit("asset.svg"))
+
+
+def dump_id(name: Column) -> Column:
+    """An id of at most 120 characters from the hash and the slug of a file name."""
+    readable = first_present(slug(stem(name)), F.lit("svg"))
+    return F.substring(F.concat(F.lit("commons_dump_"), F.substring(F.md5(name), 1, 12), F.lit("_"), readable), 1, 120)
+
+
+def store_address(uri: Column, host: str = "commoncrawl.org", bucket: str = "commoncrawl") -> Column:
+    """The object-store form of a crawl's web address; null for any other host."""
+    authority = F.regexp_extract(uri, r"^https?://([^/?#]*)", 1)
+    path = F.regexp_extract(uri, r"^https?://[^/?#]*/*([^?#]*)", 1)
+    return F.when(uri.startswith("s3://"), uri).when(authority == f"data.{host}", F.concat(F.lit(f"s3://{bucket}/"), path)).when(authority.endswith(host), F.concat(F.lit("s3://"), path))
+
+
+def archive_suffix(key: Column) -> Column:
+    """The ending of a source archive: .tar.gz, .tgz, .tar, else the file's own, else .tar."""
+    low, own = F.lower(key), F.regexp_extract(basename(key), r".(\.[^.]+)$", 1)
+    return F.when(low.endswith(".tar.gz"), ".tar.gz").when(low.endswith(".tgz"), ".tgz").when(low.endswith(".tar"), ".tar").otherwise(first_present(own, F.lit(".tar")))
+
+
+def utc_stamp(at: Column | None = None) -> Column:
+    """A time, else the present one, as text in UTC to the second."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp() if at is None else at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def merged_json(base: Column, new: Column, drop: list[str] | None = None) -> Column:
+    """Two JSON objects as one with sorted keys, those of ``new`` winning, without the keys in ``drop``.
+
+    Anything that is no object counts as an empty one.
+    """
+    gone = set(drop or [])
+
+    def merge(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
+            whole = _object(x) | _object(y)
+            out.append(json.dumps({k: v for k, v in whole.items() if k not in gone}, sort_keys=True, ensure_ascii=False, separators=(",", ":")))
+        return pa.array(out, pa.string())
+
+    return arrow_udf(merge, "string", ArrowUDFType.SCALAR)(base, new)
+
+
+def _object(text: str | None) -> dict:
+    try:
+        value = json.loads(text or "{}")
+    except (ValueError, RecursionError):
+        return {}
+    return value if isinstance(value, dict) else {}
+
+
+def setting(name: str, kind: type = str, default=None):
+    """A value of the environment as int, float, bool or text; the default where it is unset or blank."""
+    raw = os.environ.get(name, "").strip()
+    if not raw:
+        return default
+    return raw.lower() in ("1", "true", "yes", "on") if kind is bool else kind(raw)
+
+
 def paper_id(value: Column) -> Column:
     """The first paper identifier in a text, with its version if it has one; null if there is none."""
     return F.nullif(F.regexp_extract(value, r"((?:[a-z-]+(?:\.[A-Z]{2})?/\d{7}|\d{4}\.\d{4,5})(?:v\d+)?)", 1), F.lit(""))
@@ -91,9 +163,10 @@ def average_hash(pixels: Column) -> Column:
     return F.array_join(F.transform(starts, lambda i: F.lower(F.conv(F.substr(bits, i, F.lit(4)), 2, 16))), "")
 
 
-def escape_text(value: Column) -> Column:
-    """Markup characters as entities, quotes left alone."""
-    return reduce(lambda v, pair: F.replace(v, F.lit(pair[0]), F.lit(pair[1])), [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")], value)
+def escape_text(value: Column, quotes: bool = False) -> Column:
+    """Markup characters as entities; quotes too if asked for, as attribute values need."""
+    pairs = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")] + [('"', "&quot;"), ("'", "&#x27;")] * quotes
+    return reduce(lambda v, pair: F.replace(v, F.lit(pair[0]), F.lit(pair[1])), pairs, value)
 
 
 def svg_in_text(value: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.functions.scalars import clamp, first_present, stable_id, stem
+from corvane.functions.scalars import clamp, first_present, paper_id, paper_month, stable_id, stem
 from corvane.functions.splits import first_by
 from corvane.schema import FETCH_STATUSES, SOURCES, TARGET_FORMATS
 
@@ -175,3 +177,67 @@ def allocations(spark, total: int, weights: dict[str, float] | None = None) -> D
 
 def candidate_id_for(kind: str, prefix: str, *parts: Column) -> Column:
     return stable_id(prefix, F.lit(kind), *parts)
+
+
+def paper_candidates(ids: DataFrame, target_format: str = "diagram_ir") -> DataFrame:
+    """A pending candidate for each distinct paper identifier (``id``, any text that holds one); texts without one have no row."""
+    papers = ids.select(paper_id(F.col("id")).alias("paper")).filter("paper IS NOT NULL").distinct()
+    month = paper_month(F.col("paper"))
+    return papers.select(
+        candidate_id_for("arxiv", "arxiv", F.col("paper")).alias("candidate_id"), F.lit("arxiv").alias("source"), F.concat(F.lit("arxiv://source/"), "paper").alias("uri"), F.lit(target_format).alias("target_format"),
+        F.concat(F.lit("arXiv:"), "paper").alias("title"), F.lit("arxiv-license-metadata-pending").alias("license"), F.to_json(F.struct(F.col("paper").alias("arxiv_id"), month.alias("source_month"))).alias("metadata"),
+        F.lit(0.8).alias("priority_score"), F.lit("pending").alias("fetch_status"),
+    )
+
+
+def repo_candidates(rows: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` best rows of a repository index (``uri, path, sha, repo, score`` and ``title, license``), one for each content."""
+    key = first_present(F.col("sha"), F.col("uri"))
+    order = [F.col(c).asc_nulls_first() for c in dict.fromkeys([*[c for c in ARRIVAL if c in rows.columns], "uri", "sha"])]
+    best = select_ranked(rows.filter(F.coalesce("uri", F.lit("")) != ""), key=key, score=F.col("score"), order=order, limit=limit, shown_default=0.55)
+    return best.select(
+        candidate_id_for("github", "github", key, F.col("uri")).alias("stable_id"), "repo", first_present(F.col("title"), F.col("path"), F.col("uri")).alias("title"),
+        first_present(F.col("license"), F.lit("github-license-metadata-pending")).alias("license"), "priority_score",
+    )
+
+
+def crawl_candidates(rows: DataFrame, limit: int, store: str = "s3://crawl/") -> DataFrame:
+    """The ``limit`` best captures of a crawl index, one for each digest, with title and host of their address."""
+    warc = F.concat(F.lit(store), F.col("filename"))
+    score = F.when(F.coalesce("status", F.lit("")) != "", F.round(capture_score(F.col("url"), F.col("mime"), F.lit(None).cast("string"), F.col("status")), 6))
+    key = first_present(F.col("digest"), warc, F.col("url"))
+    order = [F.col(c).asc_nulls_first() for c in ("capture_time", "url", "filename", "record_offset", "status", "mime", "record_length")]
+    best = select_ranked(rows, key=key, score=score, order=order, limit=limit)
+    title = first_present(F.regexp_extract("url", r"([^/?#]*)(?:[?#].*)?$", 1), F.col("url"))
+    return best.select(candidate_id_for("commoncrawl", "cc", key, warc, F.col("url")).alias("candidate_id"), warc.alias("uri"), title.alias("title"), F.regexp_extract("url", r"^[a-z]+://([^/?#]*)", 1).alias("host"), "priority_score")
+
+
+def record_candidates(records: DataFrame, corpus_id: str) -> DataFrame:
+    """Generated records (``id, prompt, diagram_ir``) as candidates that need no fetch, with the size of their documents."""
+    nodes = "struct<title:string,nodes:array<struct<id:string>>,edges:array<struct<id:string>>>"
+    rows = records.select("id", "prompt", "diagram_ir", F.from_json("diagram_ir", nodes).alias("d"))
+    size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c))
+    return rows.select(
+        F.col("id").alias("candidate_id"), F.lit("synthetic").alias("source"), F.concat(F.lit(f"synthetic://{corpus_id}/"), "id").alias("uri"), F.lit("diagram_ir").alias("target_format"),
+        F.coalesce("d.title", F.lit("")).alias("title"), F.coalesce("prompt", F.lit("")).alias("caption"), F.length("diagram_ir").alias("target_chars"), size("d.nodes").alias("node_count"), size("d.edges").alias("edge_count"),
+        F.lit(1.0).alias("priority_score"), F.lit("not_required").alias("fetch_status"),
+    )
+
+
+def in_order(*tables: DataFrame) -> DataFrame:
+    """All rows of several tables with ``table_ord``, the place of theirs; columns are met by name, missing ones are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [t.withColumn("table_ord", F.lit(k)) for k, t in enumerate(tables)])
+
+
+def union_first(tables: list[DataFrame], keys: list[str], order: list[str]) -> DataFrame:
+    """One row a key: that of the first table which has it, there the first in ``order``; null keys are keys like others."""
+    return first_by(in_order(*tables), keys, [F.col("table_ord"), *[F.col(c).asc_nulls_first() for c in order]])
+
+
+def ranked_by_count(rows: DataFrame, key: str, seen: str) -> DataFrame:
+    """``key, n, place``: how often each key occurs, the most frequent first, ties by where they are first ``seen``.
+
+    The keys are few by nature (kinds of flaws, tags); only their counts are ordered.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(seen).alias("_first"))
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col("n").desc(), "_first", key))).drop("_first")

@@ -120,14 +120,7 @@ _CORDER = "capture_time NULLS FIRST, url NULLS FIRST, filename NULLS FIRST, reco
  coalesce(nullif(regexp_extract(url,'([^/?#]*)(?:[?#].*)?$',1),''), url) AS title, regexp_extract(url,'^[a-z]+://([^/?#]*)',1) AS host, priority_score::DOUBLE AS priority_score FROM o ORDER BY sk DESC, {_CORDER} LIMIT 500""")
 def index_candidates(spark, sf_dir):
     """The five hundred best captures, one for each digest."""
-    rows = table(spark, sf_dir, "crawl_index")
-    warc = F.concat(F.lit("s3://crawl/"), F.col("filename"))
-    score = F.when(F.coalesce("status", F.lit("")) != "", F.round(C.capture_score(F.col("url"), F.col("mime"), F.lit(None).cast("string"), F.col("status")), 6))
-    key = S.first_present(F.col("digest"), warc, F.col("url"))
-    order = [F.col(c).asc_nulls_first() for c in ("capture_time", "url", "filename", "record_offset", "status", "mime", "record_length")]
-    best = C.select_ranked(rows, key=key, score=score, order=order, limit=500)
-    title = S.first_present(F.regexp_extract("url", r"([^/?#]*)(?:[?#].*)?$", 1), F.col("url"))
-    return best.select(C.candidate_id_for("commoncrawl", "cc", key, warc, F.col("url")).alias("candidate_id"), warc.alias("uri"), title.alias("title"), F.regexp_extract("url", r"^[a-z]+://([^/?#]*)", 1).alias("host"), "priority_score")
+    return C.crawl_candidates(table(spark, sf_dir, "crawl_index"), 500)
 
 
 @query(f"""WITH r AS (SELECT *, regexp_extract(uri,'^github:([^/]*/[^/]*)/',1) AS repo, regexp_extract(uri,'^github:[^/]*/[^/]*/(.*)$',1) AS path, coalesce(nullif(content_sha256,''),uri) AS k FROM corpus_candidates WHERE source='github' AND coalesce(uri,'')<>''),
@@ -136,12 +129,9 @@ def index_candidates(spark, sf_dir):
  SELECT 'github-' || substr(sha256('github' || chr(10) || k || chr(10) || uri),1,20) AS stable_id, repo, coalesce(nullif(title,''),nullif(path,''),uri) AS title, coalesce(nullif(license,''),'github-license-metadata-pending') AS license, shown::DOUBLE AS priority_score FROM o ORDER BY sk DESC, {ARRIVAL} LIMIT 300""")
 def repo_candidates(spark, sf_dir):
     """The three hundred best repository files, one for each content."""
-    rows = table(spark, sf_dir, "corpus_candidates").filter((F.col("source") == "github") & (F.coalesce("uri", F.lit("")) != ""))
-    key = S.first_present(F.col("content_sha256"), F.col("uri"))
-    score = F.col("priority_score")
-    best = C.select_ranked(rows, key=key, score=score, order=[F.col(c).asc_nulls_first() for c in C.ARRIVAL], limit=300, shown_default=0.55)
-    path = F.regexp_extract("uri", r"^github:[^/]*/[^/]*/(.*)$", 1)
-    return best.select(C.candidate_id_for("github", "github", key, F.col("uri")).alias("stable_id"), F.regexp_extract("uri", r"^github:([^/]*/[^/]*)/", 1).alias("repo"), S.first_present(F.col("title"), path, F.col("uri")).alias("title"), S.first_present(F.col("license"), F.lit("github-license-metadata-pending")).alias("license"), "priority_score")
+    part = lambda k: F.regexp_extract("uri", r"^github:([^/]*/[^/]*)/(.*)$", k)
+    rows = table(spark, sf_dir, "corpus_candidates").filter("source = 'github'")
+    return C.repo_candidates(rows.withColumns({"sha": F.col("content_sha256"), "repo": part(1), "path": part(2), "score": F.col("priority_score")}), 300)
 
 
 @query(r"""WITH i AS (SELECT nullif(regexp_extract(source,'((?:[a-z-]+(?:\.[A-Z]{2})?/\d{7}|\d{4}\.\d{4,5})(?:v\d+)?)',1),'') AS paper_id FROM training_records)
@@ -236,3 +226,62 @@ def month_ranges(spark, sf_dir):
     """First-of-month ranges that cover 2024-01-17 to 2025-06-20."""
     months = spark.range(1).select(F.explode(F.sequence(F.trunc(F.lit("2024-01-17").cast("date"), "MM"), F.lit("2025-06-20").cast("date"), F.expr("interval 1 month"))).alias("lo"))
     return months.select("lo", F.least(F.last_day("lo"), F.lit("2025-06-20").cast("date")).alias("hi"))
+
+
+@query(r"""WITH i AS (SELECT DISTINCT nullif(regexp_extract(source,'((?:[a-z-]+(?:\.[A-Z]{2})?/\d{7}|\d{4}\.\d{4,5})(?:v\d+)?)',1),'') AS paper FROM training_records)
+ SELECT 'arxiv-' || substr(sha256('arxiv' || chr(10) || paper),1,20) AS candidate_id, 'arxiv' AS source, 'arxiv://source/' || paper AS uri, 'diagram_ir' AS target_format, 'arXiv:' || paper AS title, 'arxiv-license-metadata-pending' AS license,
+ '{"arxiv_id":"' || paper || '","source_month":"' || CASE WHEN contains(split_part(paper,'v',1),'/') THEN 'legacy' ELSE substr(split_part(paper,'v',1),1,4) END || '"}' AS metadata, 0.8::DOUBLE AS priority_score, 'pending' AS fetch_status FROM i WHERE paper IS NOT NULL""")
+def paper_candidates(spark, sf_dir):
+    """Candidates from the paper identifiers in the sources."""
+    return C.paper_candidates(table(spark, sf_dir, "training_records").select(F.col("source").alias("id")))
+
+
+@query("""SELECT id AS candidate_id, 'synthetic' AS source, 'synthetic://corpus/' || id AS uri, 'diagram_ir' AS target_format, coalesce(diagram_ir->>'$.title','') AS title, coalesce(prompt,'') AS caption, length(diagram_ir) AS target_chars,
+ CASE WHEN json_type(diagram_ir,'$.nodes')='ARRAY' THEN json_array_length(diagram_ir,'$.nodes') ELSE 0 END AS node_count, CASE WHEN json_type(diagram_ir,'$.edges')='ARRAY' THEN json_array_length(diagram_ir,'$.edges') ELSE 0 END AS edge_count, 1.0::DOUBLE AS priority_score, 'not_required' AS fetch_status
+ FROM training_records WHERE json_valid(diagram_ir) AND json_type(diagram_ir)='OBJECT'""")
+def record_candidates(spark, sf_dir):
+    """Records with a document as candidates."""
+    rows = table(spark, sf_dir, "training_records").filter(F.try_parse_json("diagram_ir").isNotNull() & F.ltrim("diagram_ir").startswith("{"))
+    return C.record_candidates(rows, "corpus")
+
+
+_SIDES = "a AS (SELECT candidate_id, source, created_at, 0 AS table_ord FROM corpus_candidates WHERE source IN ('github','arxiv')), b AS (SELECT candidate_id, source, created_at, 1 AS table_ord FROM corpus_candidates WHERE source IN ('arxiv','wikimedia'))"
+
+
+def _sides(spark, sf_dir):
+    rows = table(spark, sf_dir, "corpus_candidates").select("candidate_id", "source", "created_at")
+    return rows.filter("source IN ('github', 'arxiv')"), rows.filter("source IN ('arxiv', 'wikimedia')")
+
+
+@query(f"WITH {_SIDES} SELECT source, table_ord, count(*) AS n FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY ALL")
+def union_in_order(spark, sf_dir):
+    """Two overlapping corpora one after the other."""
+    return C.in_order(*_sides(spark, sf_dir)).groupBy("source", "table_ord").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {_SIDES} SELECT candidate_id, source, created_at, table_ord FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY table_ord, created_at NULLS FIRST, source NULLS FIRST) r FROM (SELECT * FROM a UNION ALL SELECT * FROM b)) WHERE r=1""")
+def union_first(spark, sf_dir):
+    """Two overlapping corpora, one row a candidate."""
+    return C.union_first(list(_sides(spark, sf_dir)), ["candidate_id"], ["created_at", "source"])
+
+
+@query(r"""SELECT candidate_id, substr('commons_dump_' || substr(md5(title),1,12) || '_' || coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(title,'\.[^.]*$','')),'[^a-z0-9]+','_','g'),'^_+|_+$','','g'),''),'svg'),1,120) AS dump_id,
+ regexp_replace(regexp_replace(lower(title),'[^\p{L}\p{N}]','-','g'),'^-+|-+$','','g') AS letters, coalesce(nullif(regexp_replace(regexp_replace(title,'[^\p{L}\p{N}._-]','_','g'),'^_+|_+$','','g'),''),'asset.svg') AS file_name,
+ replace(replace(replace(replace(replace(title,'&','&amp;'),'<','&lt;'),'>','&gt;'),'"','&quot;'),chr(39),'&#x27;') AS quoted,
+ CASE WHEN lower(uri) LIKE '%.tar.gz' THEN '.tar.gz' WHEN lower(uri) LIKE '%.tgz' THEN '.tgz' WHEN lower(uri) LIKE '%.tar' THEN '.tar' ELSE coalesce(nullif(regexp_extract(split_part(uri,'/',-1),'.(\.[^.]+)$',1),''),'.tar') END AS suffix,
+ 's3://commoncrawl/a/' || candidate_id AS store FROM corpus_candidates WHERE title IS NOT NULL AND uri IS NOT NULL""")
+def name_scalars(spark, sf_dir):
+    """Ids, file names, endings and addresses made of titles and addresses."""
+    rows = table(spark, sf_dir, "corpus_candidates").filter("title IS NOT NULL AND uri IS NOT NULL")
+    title, web = F.col("title"), F.concat(F.lit("https://data.commoncrawl.org/a/"), "candidate_id")
+    return rows.select("candidate_id", S.dump_id(title).alias("dump_id"), S.letter_slug(title).alias("letters"), S.file_name(title).alias("file_name"), S.escape_text(title, True).alias("quoted"), S.archive_suffix(F.col("uri")).alias("suffix"), S.store_address(web).alias("store"))
+
+
+@query("""WITH m AS (SELECT candidate_id, json_merge_patch(coalesce(nullif(metadata,''),'{}')::JSON, json_object('stage','merged','rank',1)) AS m FROM corpus_candidates)
+ SELECT candidate_id, m->>'$.stage' AS stage, m->>'$.rank' AS rank, m->>'$.license' AS license, len(json_keys(m)) - 1 + (NOT list_contains(json_keys(m),'filename'))::INT AS keys FROM m""")
+def merged_metadata(spark, sf_dir):
+    """Metadata with the keys of a stage merged in and one key taken out."""
+    both = S.merged_json(F.col("metadata"), F.lit('{"stage":"merged","rank":1}'), ["filename"])
+    rows = table(spark, sf_dir, "corpus_candidates").select("candidate_id", both.alias("m"))
+    get = lambda k: F.get_json_object("m", f"$.{k}").alias(k)
+    return rows.select("candidate_id", get("stage"), get("rank"), get("license"), F.size(F.json_object_keys("m")).cast("long").alias("keys"))
