@@ -53,6 +53,36 @@ def token_rows(records: DataFrame, encode: Callable[[list[str]], list[list[int]]
     return rows.mapInArrow(run, "id string, input_ids array<int>, labels array<int>, length int")
 
 
+# The roles of a chat as the usual template writes them.
+TEMPLATE, OPENING = "<|im_start|>{role}\n{text}<|im_end|>\n", "<|im_start|>assistant\n"
+# What the assistant is told, by the kind of target.
+SYSTEM = {"ir": "Answer with a diagram document in JSON.", "svg": "Answer with one SVG drawing."}
+
+
+def chat_rows(
+    records: DataFrame, encode: Callable[[list[str]], list[list[int]]], max_length: int, system: dict[str, str] | None = None, template: str = TEMPLATE, opening: str = OPENING,
+    prompt_chars: int = 4096, target_chars: int = 12_000, drop: bool = True,
+) -> DataFrame:
+    """``id, input_ids, labels, length`` of chats of system, user and assistant; only the answer counts in the labels.
+
+    The system text depends on the kind of target. Prompts and targets are cut to
+    characters as training asks; longer rows are dropped, or cut to ``max_length``.
+    """
+    told = system or SYSTEM
+    ir = F.coalesce("diagram_ir", F.lit("")) != ""
+    turn = lambda role, text: F.replace(F.lit(template.replace("{role}", role)), F.lit("{text}"), text)
+    head = F.concat(turn("system", F.when(ir, told["ir"]).otherwise(told["svg"])), turn("user", F.substring(F.coalesce("prompt", F.lit("")), 1, prompt_chars)), F.lit(opening))
+    tail = F.replace(F.lit(template.partition("{text}")[1] + template.partition("{text}")[2]), F.lit("{text}"), F.substring(target_text(), 1, target_chars))
+    chats = records.filter(target_text() != "").select("id", head.alias("prompt"), tail.alias("svg"), F.lit(None).cast("string").alias("diagram_ir"))
+    return token_rows(chats, encode, max_length, prompt_chars=1 << 30, target_chars=1 << 30, drop=drop)
+
+
+def semantic_summary(reviews: DataFrame, payload: str) -> DataFrame:
+    """One row: ``reviewed`` and the mean of each of the six scores of the reviewers' JSON; no reviews give zeros."""
+    scored = reviews.select(semantic_scores(F.col(payload)).alias("s"))
+    return scored.agg(F.count(F.lit(1)).alias("reviewed"), *[F.coalesce(F.avg(f"s.{k}"), F.lit(0.0)).alias(k) for k in SCORES])
+
+
 def media_line(uri: Column, meta: Column) -> Column:
     """File name, type, size and texts of a media item; ``meta`` is its metadata as JSON."""
     get = lambda *names: first_present(*[F.get_json_object(meta, f"$.{n}") for n in names])

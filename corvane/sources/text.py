@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.functions.scalars import first_present
+from corvane.functions.splits import first_by
 from corvane.operators.candidates import checked
 from corvane.operators.markup import per_row
 from corvane.schema import CANDIDATE
+from corvane.sources.shards import listed_files
 
 
 def json_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType, strict: bool = False) -> DataFrame:
@@ -31,16 +33,61 @@ def candidate_lines(spark: SparkSession, paths: str | list[str], strict: bool =
     return checked(json_lines(spark, paths, CANDIDATE, strict), strict)
 
 
-def manifest_records(spark: SparkSession, manifest_path: str, schema: T.StructType) -> DataFrame:
-    """Records of a manifest's files with ``file_ord``, their place in its list; relative paths are beside the manifest."""
-    manifest = spark.read.option("multiLine", True).schema("files array<string>").json(manifest_path).first()
-    home = manifest_path.rsplit("/", 1)[0]
-    files = [f if "://" in f or f.startswith("/") else f"{home}/{f}" for f in (manifest["files"] if manifest else None) or []]
-    if not files:
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    """A dataset manifest: its known keys only, checked; its files as addresses, relative ones beside it.
+
+    Raises ValueError where it has no files or a negative count.
+    """
+    known = "dataset_id string, created_at string, record_count long, files array<string>, schema_version string, split string"
+    row = spark.read.option("multiLine", True).schema(known).json(path).first()
+    manifest = row.asDict() if row else {}
+    home = path.rsplit("/", 1)[0]
+    manifest["files"] = [f if "://" in f or f.startswith("/") else f"{home}/{f}" for f in manifest.get("files") or []]
+    if not manifest["files"]:
         raise ValueError("the manifest has no files")
-    names = {f.rsplit("/", 1)[-1]: k for k, f in enumerate(files)}
-    place = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])  # one entry a listed file
-    return json_lines(spark, files, schema).withColumn("file_ord", place[F.substring_index(F.input_file_name(), "/", -1)])
+    if (manifest.get("record_count") or 0) < 0:
+        raise ValueError("the manifest counts less than no records")
+    return manifest
+
+
+def manifest_records(spark: SparkSession, manifest_path: str, schema: T.StructType) -> DataFrame:
+    """Records of a manifest's files with ``file_ord``, their place in its list, by their whole address."""
+    files = list(dict.fromkeys(read_manifest(spark, manifest_path)["files"]))
+    found = [(name, k) for k, f in enumerate(files) for name, _ in listed_files(spark, f)]  # a listed folder counts as its files
+    places = spark.createDataFrame([(re.sub("^file:/+", "file:/", name), k) for name, k in found], "_file string, file_ord int")
+    rows = json_lines(spark, files, schema).withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"))
+    return rows.join(places, "_file", "left").drop("_file")
+
+
+def unpacked(spark: SparkSession, path: str, cache: str) -> str:
+    """The folder ``cache`` with the lines of a gzip file as plain text, written once; a gzip file is read by one task every time.
+
+    A cache older than the file is written anew; it is complete once it has its success mark.
+    """
+    conf, hadoop = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, mark = hadoop.Path(path), hadoop.Path(f"{cache}/_SUCCESS")
+    store = mark.getFileSystem(conf)
+    written = source.getFileSystem(conf).getFileStatus(source).getModificationTime()
+    if not store.exists(mark) or store.getFileStatus(mark).getModificationTime() < written:
+        cores = spark.sparkContext.defaultParallelism
+        spark.read.text(path).withColumn("_at", F.monotonically_increasing_id()).repartitionByRange(cores, "_at").sortWithinPartitions("_at").select("value").write.mode("overwrite").text(cache)
+    return cache
+
+
+def index_partitions(spark: SparkSession, crawl: str, listed: list[str] | None = None, most: int = 300) -> DataFrame:
+    """``crawl, part, key``: the index files of a crawl in order, those listed or, without a listing, the usual names, ``most`` at most."""
+    keys = sorted(k for k in listed if k.endswith(".gz")) if listed is not None else [f"cc-index/collections/{crawl}/indexes/cdx-{n:05d}.gz" for n in range(most)]
+    return spark.createDataFrame([(crawl, n, k) for n, k in enumerate(keys[:most])], "crawl string, part int, key string")
+
+
+def code_hits(pages: DataFrame) -> DataFrame:
+    """``repo, path, sha, raw_url``: files of a code search's pages (``slice, page, payload``), one for each content, the first page first."""
+    shape = "struct<path:string,sha:string,html_url:string,repository:struct<full_name:string>>"
+    hit = F.from_json("payload", shape)
+    rows = pages.select("slice", "page", hit.alias("h")).filter(F.lower("h.path").endswith(".svg") & F.col("h.sha").isNotNull())
+    raw = F.regexp_replace(F.regexp_replace("h.html_url", "^https://github[.]com/", "https://raw.githubusercontent.com/"), "/blob/", "/")
+    named = rows.select("slice", "page", F.col("h.repository.full_name").alias("repo"), F.col("h.path").alias("path"), F.col("h.sha").alias("sha"), raw.alias("raw_url"))
+    return first_by(named, ["sha"], [F.col(c).asc_nulls_first() for c in ("slice", "page", "repo", "path")]).select("repo", "path", "sha", "raw_url")
 
 
 _VALUE = r"\s*(?:'((?:[^'\\]|\\.)*)'|([^,()']*?))\s*"
