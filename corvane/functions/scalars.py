@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 from functools import reduce
 
 import pyarrow as pa
@@ -155,12 +156,16 @@ def hex_hamming(a: Column, b: Column) -> Column:
     return F.aggregate(pairs, F.lit(0), lambda total, one: total + one)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used and in whatever lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def average_hash(pixels: Column) -> Column:
     """Hex digits of the bits ``pixel >= mean``, the first pixel first."""
     mean = F.aggregate(pixels, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size(pixels)
-    bits = F.array_join(F.transform(pixels, lambda x: F.when(x.cast("double") >= mean, "1").otherwise("0")), "")
-    starts = F.sequence(F.lit(1), F.length(bits), F.lit(4))
-    return F.array_join(F.transform(starts, lambda i: F.lower(F.conv(F.substr(bits, i, F.lit(4)), 2, 16))), "")
+    bits = once(mean, lambda m: F.array_join(F.transform(pixels, lambda x: F.when(x.cast("double") >= m, "1").otherwise("0")), ""))
+    return once(bits, lambda b: F.array_join(F.transform(F.sequence(F.lit(1), F.length(b), F.lit(4)), lambda i: F.lower(F.conv(F.substr(b, i, F.lit(4)), 2, 16))), ""))
 
 
 def escape_text(value: Column, quotes: bool = False) -> Column:

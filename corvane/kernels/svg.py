@@ -234,3 +234,11 @@ def primitives(text: str) -> list[dict]:
         words = "".join(element.itertext()).strip() if tag in ("text", "tspan") else ""
         out.append({"kind": kind, "tag": tag, "id": element.get("id"), "text": words, "box": box, "attributes": dict(element.attrib)})
     return out
+
+
+def measure(text: str) -> tuple[float | None, float | None, list[float] | None, int, list[str]]:
+    """Width, height, view box, elements below the root, name spaces in use; raises where the text is no XML."""
+    root = parse(text)
+    elements = [e for e in root.iter() if isinstance(e.tag, str)]
+    box = view_box(root.get("viewBox"))
+    return leading_number(root.get("width")), leading_number(root.get("height")), list(box) if box else None, len(elements) - 1, sorted({e.tag.partition("}")[0].lstrip("{") for e in elements if e.tag.startswith("{")})

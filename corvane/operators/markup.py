@@ -33,6 +33,7 @@ def per_row(df: DataFrame, columns: list[str], function, schema: str) -> DataFra
     return spread(df.select(*columns)).mapInArrow(run, schema)
 
 
+ASSESSED = "id string, schema_valid boolean, compilable boolean, accepted boolean, reasons array<string>, nodes int, edges int, groups int"
 CHECKED = "id string, ok boolean, reason string, reject_reasons array<string>, warnings array<string>, quality int, bytes long, nodes int, paths int, texts int, groups int, primitives int, hidden int, has_size boolean, aspect_ratio double"
 # Rejections that name the reason before any other.
 FIRST_REASONS = [("xml_parse_fail", "xml_parse_fail"), ("raster_image", "contains_raster"), ("no_dimensions", "no_dimensions"), ("size_over_limit", "size_out_of_range")]
@@ -87,8 +88,7 @@ def _assessed(key: str, text: str):
 
 def assessed(records: DataFrame) -> DataFrame:
     """Schema, drawing and round trip of each non-empty document."""
-    schema = "id string, schema_valid boolean, compilable boolean, accepted boolean, reasons array<string>, nodes int, edges int, groups int"
-    return per_row(records.filter(F.coalesce("diagram_ir", F.lit("")) != ""), ["id", "diagram_ir"], _assessed, schema)
+    return per_row(records.filter(F.coalesce("diagram_ir", F.lit("")) != ""), ["id", "diagram_ir"], _assessed, ASSESSED)
 
 
 def _drawn(key: str, text: str):
@@ -139,12 +139,25 @@ def contracts(records: DataFrame) -> DataFrame:
     return per_row(rows, ["id", "diagram_ir", "labels"], score, "id string, schema_valid boolean, compilable boolean, label_recall double, edge_recall double, flaws array<string>")
 
 
+def both(records: DataFrame) -> DataFrame:
+    """``id, prompt, c, a`` of every record: what the validator says of its drawing and the round trip of its document, in one pass; null where there is none."""
+    check, assess = T._parse_datatype_string(CHECKED), T._parse_datatype_string(ASSESSED)
+    named = lambda schema, rows: [dict(zip(schema.names, row, strict=True)) for row in rows]
+
+    def one(key: str, prompt: str, svg_text: str, ir_text: str):
+        c = named(check, _checked(key, svg_text)) if svg_text else [None]
+        a = named(assess, _assessed(key, ir_text)) if ir_text else [None]
+        return [(key, prompt, c[0], a[0])]
+
+    return per_row(records, ["id", "prompt", "svg", "diagram_ir"], one, f"id string, prompt string, c {check.simpleString()}, a {assess.simpleString()}")
+
+
 def gate(records: DataFrame, schema_rate: float = 0.95, compile_rate: float = 0.90, render_rate: float = 0.95) -> DataFrame:
     """One row: rates over all records (rendering over those with a drawing), means, and whether all reach their least."""
-    docs = assessed(records).agg(F.count_if("schema_valid").alias("s"), F.count_if("compilable").alias("c"), F.avg("nodes").alias("avg_nodes"), F.avg("edges").alias("avg_edges"))
-    drawings = checked(records).agg(F.count(F.lit(1)).alias("svgs"), F.count_if("ok").alias("r"))
-    total = records.agg(F.count(F.lit(1)).alias("records"))
-    one = total.crossJoin(docs).crossJoin(drawings)  # three single rows
+    one = both(records).agg(
+        F.count(F.lit(1)).alias("records"), F.count_if("a.schema_valid").alias("s"), F.count_if("a.compilable").alias("c"), F.avg("a.nodes").alias("avg_nodes"), F.avg("a.edges").alias("avg_edges"),
+        F.count("c.ok").alias("svgs"), F.count_if("c.ok").alias("r"),
+    )
     rates = {"schema_validity": safe_rate(F.col("s"), F.col("records")), "compilability": safe_rate(F.col("c"), F.col("records")), "render_validity": safe_rate(F.col("r"), F.col("svgs"))}
     passed = (rates["schema_validity"] >= schema_rate) & (rates["compilability"] >= compile_rate) & (rates["render_validity"] >= render_rate)
     mean = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c)
@@ -153,10 +166,7 @@ def gate(records: DataFrame, schema_rate: float = 0.95, compile_rate: float = 0.
 
 def diagnosed(records: DataFrame) -> DataFrame:
     """``id, quality_score, validity, geometry, complexity, editability, flaws`` of each record."""
-    c = checked(records).select(F.col("id"), F.struct("*").alias("c")).alias("c")
-    a = assessed(records).select(F.col("id"), F.struct("*").alias("a")).alias("a")
-    base = records.select("id", "prompt", (F.coalesce("svg", F.lit("")) != "").alias("has_svg"), (F.coalesce("diagram_ir", F.lit("")) != "").alias("has_ir"))
-    rows = base.join(c, "id", "left").join(a, "id", "left")
+    rows = both(records).withColumns({"has_svg": F.col("c").isNotNull(), "has_ir": F.col("a").isNotNull()})
     clamp = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
     cost = lambda when, points: F.when(when, F.lit(points)).otherwise(0.0)
     n, p = F.col("c.nodes"), F.col("c.paths")
@@ -186,3 +196,39 @@ def diagnosed(records: DataFrame) -> DataFrame:
 def best_drawings(records: DataFrame, k: int) -> DataFrame:
     """The ``k`` accepted drawings of the best quality."""
     return top(checked(records).filter("ok").select("id", F.col("quality").cast("double").alias("priority_score")), k, name="id")
+
+
+def measured(records: DataFrame) -> DataFrame:
+    """``id, width, height, view_box, elements, namespaces`` of each drawing that parses, its text left as it is."""
+
+    def one(key: str, text: str):
+        try:
+            return [(key, *svg.measure(text))]
+        except Exception:  # noqa: BLE001 - a broken drawing has no row
+            return []
+
+    return per_row(records.filter(F.coalesce("svg", F.lit("")) != ""), ["id", "svg"], one, "id string, width double, height double, view_box array<double>, elements int, namespaces array<string>")
+
+
+# The elements that count as primitives.
+PRIMITIVES = ["rect", "circle", "ellipse", "line", "polyline", "polygon", "path", "text"]
+
+
+def tag_counts(records: DataFrame) -> DataFrame:
+    """``id, tag, n`` of each drawing, with the sums ``primitive_elements`` and ``shape_elements`` (primitives but text).
+
+    Start tags are counted by local name in lower case, comments left out; it stays in the row, without a parser.
+    """
+    body = F.regexp_replace("svg", r"(?s)<!--.*?(-->|$)", " ")
+    tags = F.transform(F.regexp_extract_all(body, F.lit(r"<(?:[\w.-]+:)?([A-Za-z][\w.-]*)"), F.lit(1)), F.lower)
+    rows = records.filter(F.coalesce("svg", F.lit("")) != "").select("id", F.explode(F.array(tags)).alias("tags"))
+    count = lambda names: F.size(F.filter("tags", lambda t: t.isin(names)))
+    each = F.transform(F.array_distinct("tags"), lambda t: F.struct(t.alias("tag"), F.size(F.filter("tags", lambda x: x == t)).alias("n")))
+    sums = F.array(F.struct(F.lit("primitive_elements").alias("tag"), count(PRIMITIVES).alias("n")), F.struct(F.lit("shape_elements").alias("tag"), count([p for p in PRIMITIVES if p != "text"]).alias("n")))
+    return rows.filter(F.size("tags") > 0).select("id", F.explode(F.concat(each, sums)).alias("x")).select("id", "x.tag", "x.n")
+
+
+def drawing_quality(drawings: DataFrame) -> DataFrame:
+    """``id, accepted, reasons, nodes, edges, groups``: each drawing (``id, svg``) read, drawn again and compared with itself."""
+    one = lambda key, text: [(key, *(parsing.assess_drawing(text)[k] for k in ("accepted", "reasons", "nodes", "edges", "groups")))]
+    return per_row(drawings.filter(F.coalesce("svg", F.lit("")) != ""), ["id", "svg"], one, "id string, accepted boolean, reasons array<string>, nodes int, edges int, groups int")

@@ -52,3 +52,16 @@ def flaws() -> Column:
         F.when((ir != "") & F.try_parse_json(ir).isNull(), "ir_not_json"),
         F.when((svg != "") & (F.octet_length(svg) < 500), "svg_warning_size_under_limit"),
     ), lambda f: f.isNotNull())
+
+
+def evaluation_report(records: DataFrame | None, spark, valid: Column, model: str, counted: int = 0) -> DataFrame:
+    """One row: ``model, val_records, svg_valid_rate, notes``.
+
+    With ``records`` the rate is the part of targets that are ``valid``; without them
+    only the count is known, a rate of 1 stands for any records at all, and a note says so.
+    """
+    if records is None:
+        return spark.range(1).select(F.lit(model).alias("model"), F.lit(counted).cast("long").alias("val_records"), F.lit(1.0 if counted else 0.0).alias("svg_valid_rate"), F.array(F.lit("no manifest: only the number of records is known")).alias("notes"))
+    has = F.coalesce("svg", F.lit("")) != ""
+    rate = safe_rate(F.count_if(has & F.coalesce(valid, F.lit(False))), F.count_if(has))
+    return records.agg(F.count(F.lit(1)).alias("val_records"), F.round(rate, 6).alias("svg_valid_rate")).select(F.lit(model).alias("model"), "val_records", "svg_valid_rate", F.array().cast("array<string>").alias("notes"))

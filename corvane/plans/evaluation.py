@@ -118,3 +118,19 @@ def near_dup_pairs(spark, sf_dir):
 @query()
 def near_dup_greedy(spark, sf_dir):
     return greedy_representatives(table(spark, sf_dir, "embeddings"), "vec_id", S.average_hash(F.col("embedding")), 9)
+
+
+@query(r"""SELECT 'm' AS model, count(*) AS val_records, round(count(*) FILTER (WHERE regexp_matches(lower(svg),'</svg>[ \t\n\r]*$'))::DOUBLE / count(*) FILTER (WHERE coalesce(svg,'')<>''),6) AS svg_valid_rate, 0 AS notes FROM training_records""")
+def evaluation_report(spark, sf_dir):
+    valid = F.lower("svg").rlike(r"</svg>[ \t\n\r]*$")
+    return R.evaluation_report(_records(spark, sf_dir), spark, valid, "m").withColumn("notes", F.size("notes"))
+
+
+@query(r"""WITH t AS (SELECT id, coalesce(prompt,'') prompt, coalesce(svg,'') svg, coalesce(diagram_ir,'') ir FROM training_records), f AS (SELECT id, unnest(list_filter([CASE WHEN trim(prompt)='' THEN 'missing_prompt' END, CASE WHEN svg='' AND ir='' THEN 'missing_target' END,
+ CASE WHEN svg<>'' AND NOT regexp_matches(lower(svg),'</svg>\s*$') THEN 'svg_not_closed' END, CASE WHEN ir<>'' AND NOT json_valid(ir) THEN 'ir_not_json' END, CASE WHEN svg<>'' AND octet_length(encode(svg))<500 THEN 'svg_warning_size_under_limit' END], lambda x: x IS NOT NULL)) AS flaw FROM t)
+ SELECT flaw, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, min(id), flaw) AS place FROM f GROUP BY flaw""")
+def flaw_order(spark, sf_dir):
+    """Flaws, the most frequent first."""
+    from corvane.operators.candidates import ranked_by_count
+
+    return ranked_by_count(_records(spark, sf_dir).select("id", F.explode(R.flaws()).alias("flaw")), "flaw", "id")

@@ -93,3 +93,35 @@ def event_sessions(spark, sf_dir):
     """Runs of a user's events less than thirty minutes apart."""
     rows = table(spark, sf_dir, "events")
     return rows.groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.min("ts").alias("start"), F.count(F.lit(1)).alias("n")).drop("w")
+
+
+@query(f"""WITH r AS (SELECT *, {SESSION} AS sid FROM feedback_records) SELECT sid AS session_id, row_number() OVER (PARTITION BY sid ORDER BY created_at NULLS FIRST, request_id NULLS FIRST, rating NULLS FIRST, ingested_at NULLS FIRST) - 1 AS nth, request_id, created_at, rating FROM r WHERE sid IS NOT NULL""")
+def session_history(spark, sf_dir):
+    return B.history(_feedback(spark, sf_dir))
+
+
+_STATE = """SELECT sid AS session_id, coalesce(arg_min(prompt, (coalesce(created_at,''), coalesce(request_id,''), prompt)) FILTER (WHERE coalesce(prompt,'')<>''),'') AS prompt, min(created_at) AS created_at, max(created_at) AS updated_at,
+ max((coalesce(created_at,''), coalesce(request_id,''), coalesce(rating,-1000))) AS l, count(*) AS feedback FROM r WHERE sid IS NOT NULL GROUP BY sid"""
+_OPEN = "session_id, prompt, created_at, updated_at, l[2] AS current_request_id, nullif(l[3],-1000)::INT AS last_rating, coalesce(nullif(l[3],-1000)>=3,false) AS last_download_allowed, feedback"
+
+
+@query(f"WITH r AS (SELECT *, {SESSION} AS sid FROM feedback_records), s AS ({_STATE}) SELECT {_OPEN} FROM s")
+def session_state(spark, sf_dir):
+    """Where each session stands after all feedback."""
+    return B.session_state(_feedback(spark, sf_dir))
+
+
+@query(f"WITH r AS (SELECT *, {SESSION} AS sid FROM feedback_records), s AS ({_STATE}) SELECT session_id, current_request_id, last_rating, feedback, updated_at FROM (SELECT {_OPEN} FROM s)")
+def session_feedback(spark, sf_dir):
+    """The same by writing later feedback into the sessions that earlier feedback has left."""
+    rows = _feedback(spark, sf_dir)
+    early = F.coalesce("created_at", F.lit("")) < "2025-07"
+    return B.record_feedback(B.session_state(rows.filter(early)), rows.filter(~early)).select("session_id", "current_request_id", "last_rating", "feedback", "updated_at")
+
+
+@query("""WITH RECURSIVE e AS (SELECT coalesce(branch_id,'~') || '|' || coalesce(model_name,'~') || '|' || coalesce(prompt,'~') || '|' || coalesce(revision_index::VARCHAR,'~') || '|' || coalesce(session_id,'~') AS k, epoch(try_cast(created_at AS TIMESTAMP))::BIGINT AS t FROM feedback_records WHERE try_cast(created_at AS TIMESTAMP) IS NOT NULL),
+ m(k, t) AS (SELECT k, min(t) FROM e GROUP BY k UNION ALL SELECT k, n FROM (SELECT m.k, (SELECT min(e.t) FROM e WHERE e.k=m.k AND e.t>=m.t+3600) AS n FROM m) WHERE n IS NOT NULL)
+ SELECT r.requests, s.misses, count(*) AS keys FROM (SELECT k, count(*) AS requests FROM e GROUP BY k) r JOIN (SELECT k, count(*) AS misses FROM m GROUP BY k) s USING (k) GROUP BY ALL""")
+def cache_expiry(spark, sf_dir):
+    """How many keys have so many requests and misses if cached answers last an hour."""
+    return B.expiring_cache(_feedback(spark, sf_dir), 3600).groupBy("requests", "misses").agg(F.count(F.lit(1)).alias("keys"))

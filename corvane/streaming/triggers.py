@@ -21,8 +21,11 @@ def manifest_error(manifest: dict) -> str | None:
     return None if int(manifest["record_count"] or 0) > 0 else "record_count must be positive"
 
 
-def on_manifest(spark: SparkSession, folder: str, checkpoint: str, start: Callable[[dict], None], rejected: Callable[[dict, str], None] | None = None):
-    """Calls ``start`` once for each new valid manifest file of ``folder``; a restart repeats none that was finished."""
+def on_manifest(spark: SparkSession, folder: str, checkpoint: str, start: Callable[[dict], None], rejected: Callable[[dict, str], None] | None = None, every: str | None = None):
+    """Calls ``start`` once for each new valid manifest file of ``folder``; a restart repeats none that was finished.
+
+    With ``every`` (such as "7 days") it keeps looking at that interval, without it once for what is there.
+    """
     files = spark.readStream.format("text").option("wholetext", True).load(folder)
 
     def handle(batch: DataFrame, _: int) -> None:
@@ -37,4 +40,4 @@ def on_manifest(spark: SparkSession, folder: str, checkpoint: str, start: Callab
             elif rejected:
                 rejected(manifest, error)
 
-    return files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()

@@ -118,9 +118,18 @@ def test_archives_and_captures(spark, tmp_path):
 
     assert A.carve(gzip.compress(b"HTTP\r\n<p><SVG a=1><g/></SVG></p>")) == "<SVG a=1><g/></SVG>"
     assert A.carve(b"nothing") is None
-    files = spark.createDataFrame([("/w/part.gz", bytearray(b"12345<svg></svg>tail"))], "path string, content binary")
-    wanted = spark.createDataFrame([("r", "crawl/part.gz", 5, 11), ("all", "part.gz", 3, 0), ("gone", "other", 0, 1)], "id string, filename string, record_offset long, record_length long")
-    assert {r.id: r.svg for r in A.captured(wanted, files).collect()} == {"r": "<svg></svg>", "all": "<svg></svg>"}
+    for folder, body in (("a", b"12345<svg></svg>tail"), ("b", b"<svg>b</svg>")):  # two files of one name
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "part.gz").write_bytes(body)
+    wanted = spark.createDataFrame([("r", "a/part.gz", 5, 11), ("all", "a/part.gz", 3, 0), ("b", "b/part.gz", None, None), ("gone", "other", 0, 1), ("far", "a/part.gz", 1 << 33, 9)], "id string, filename string, record_offset long, record_length long")
+    got = {r.id: (r.svg, r.error) for r in A.captured(wanted, f"file://{tmp_path}").collect()}
+    assert got["r"] == got["all"] == ("<svg></svg>", None) and got["b"] == ("<svg>b</svg>", None) and got["gone"] == (None, "read_failed:FileNotFoundError") and got["far"][0] is None
+    assert A.captured(wanted.limit(0), f"file://{tmp_path}").count() == 0
+    sources = spark.createDataFrame([("1", "u:1"), ("2", "bad")], "paper_id string, uri string")
+    fetch = lambda uri: (_ for _ in ()).throw(OSError()) if uri == "bad" else b"tar"
+    (tmp_path / "src").mkdir()
+    for outcome in ("downloaded", "skipped"):
+        assert {r.paper_id: r.outcome for r in A.download(sources, f"file://{tmp_path}/src", fetch, 2, delays=()).collect()} == {"1": outcome, "2": "failed:OSError"}
     names = A.archive_names(spark.createDataFrame([("math/1",), ("2",)], "paper_id string"), spark.createDataFrame([("/s/math_1.tar.gz",), ("/s/2.tar.gz",), ("/s/2.tar",)], "path string"))
     assert {r.paper_id: r.path for r in names.collect()} == {"math/1": "/s/math_1.tar.gz", "2": "/s/2.tar"}
 
