@@ -24,10 +24,13 @@ def _classes(records: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataF
 
 
 def class_pairs(records: DataFrame, workspace: Workspace, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows, classes and the verified pairs of classes (``a1, a2, b1, b2``, smaller key first)."""
+    """Members (``id, k1, k2``), classes and the verified pairs of classes (``a1, a2, b1, b2``, smaller key first)."""
     rows, classes, total = _classes(records, workspace)
     near = workspace.save(prefix_join.candidates(classes, total, threshold), "candidates")
-    return rows, classes, workspace.save(wordbag.verified(near, rows, threshold, workspace), "pairs")
+    pairs = wordbag.verified(near, rows, threshold, workspace)
+    members = workspace.save(rows.select("id", "k1", "k2"), "members")
+    workspace.drop(rows)  # the words are needed no more
+    return members, classes, pairs
 
 
 def _side(df: DataFrame, name: str) -> DataFrame:
@@ -42,8 +45,7 @@ def record_pairs(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     one of the texts are alike to none.
     """
     workspace = Workspace(records.sparkSession, "near")
-    rows, classes, pairs = class_pairs(records, workspace, threshold)
-    members = rows.select("id", "k1", "k2")
+    members, classes, pairs = class_pairs(records, workspace, threshold)
     apart = pairs.join(_side(members, "a"), ["a1", "a2"]).join(_side(members, "b"), ["b1", "b2"]).select("id_a", "id_b")
     shared = members.join(classes.filter("n_rows > 1").select("k1", "k2"), ["k1", "k2"])
     together = shared.withColumnRenamed("id", "id_a").join(shared.withColumnRenamed("id", "id_b"), ["k1", "k2"]).filter("id_a < id_b").select("id_a", "id_b")

@@ -27,7 +27,10 @@ def _matches(records: DataFrame, workspace: Workspace, threshold: float) -> tupl
     classes = workspace.save(classes, "classes")
     sides = classes.withColumn("role", (F.col("n_train") > 0).cast("int") + (F.col("n_eval") > 0).cast("int") * 2)
     near = workspace.save(prefix_join.candidates(sides, classes.count(), threshold, crossing=True), "candidates")
-    return rows, classes, workspace.save(wordbag.verified(near, rows, threshold, workspace), "pairs")
+    pairs = wordbag.verified(near, rows, threshold, workspace)
+    members = workspace.save(rows.select("id", "k1", "k2", "trains"), "members")
+    workspace.drop(rows)  # the words are needed no more
+    return members, classes, pairs
 
 
 def overlapping_pairs(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -77,14 +77,14 @@ def sketch(ids: list[str], prompts: list[str], svgs: list[str], hashes: _Hashes)
     columns.append(pa.array([small_tokens[ends[2 * k] - sizes[2 * k] : ends[2 * k]].tobytes() for k in range(n)], pa.binary()))
     columns.append(pa.array(sizes[1::2].astype(np.int32)))
     bags, at = [], 0
-    small = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
+    whole = h.astype("<u8")
     for i in range(n):
         parts = []
         for size in (lens[2 * i], lens[2 * i + 1]):
-            order = np.argsort(small[at : at + size])
+            order = np.argsort(whole[at : at + size])
             counts = c[at : at + size][order]
             wide = int(counts.max() > 65535)
-            parts += [np.uint32(size | wide << 31).tobytes(), small[at : at + size][order].tobytes(), counts.astype("<u4" if wide else "<u2").tobytes()]
+            parts += [np.uint32(size | wide << 31).tobytes(), whole[at : at + size][order].tobytes(), counts.astype("<u4" if wide else "<u2").tobytes()]
             at += size
         bags.append(b"".join(parts))
     columns.append(pa.array(bags, pa.binary()))
@@ -119,10 +119,10 @@ def bags(records: DataFrame, flag: str | None = None) -> DataFrame:
 
 
 def _part(bag: bytes, at: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Words, counts and the end of one text; the upper bit of the size tells of four bytes a count."""
+    """Words by 64-bit hash, counts and the end of one text; the upper bit of the size tells of four bytes a count."""
     n = int(np.frombuffer(bag, "<u4", 1, at)[0])
     wide, n = n >> 31, n & 0x7FFFFFFF
-    return np.frombuffer(bag, "<u4", n, at + 4), np.frombuffer(bag, "<u4" if wide else "<u2", n, at + 4 + 4 * n), at + 4 + (8 if wide else 6) * n
+    return np.frombuffer(bag, "<u8", n, at + 4), np.frombuffer(bag, "<u4" if wide else "<u2", n, at + 4 + 8 * n), at + 4 + (12 if wide else 10) * n
 
 
 def likeness(a: bytes, b: bytes) -> tuple[float, float]:
@@ -139,7 +139,7 @@ def likeness(a: bytes, b: bytes) -> tuple[float, float]:
 
 
 def verified(pairs: DataFrame, rows: DataFrame, threshold: float, workspace) -> DataFrame:
-    """The ``a1, a2, b1, b2`` of ``pairs`` whose bags are alike by ``threshold`` in both texts.
+    """The ``a1, a2, b1, b2`` of ``pairs`` whose bags are alike by ``threshold`` in both texts, saved; what led there is deleted.
 
     Only bags that some pair may name are shuffled: a Bloom filter of the pairs' keys
     goes over ``rows`` first.
@@ -166,4 +166,7 @@ def verified(pairs: DataFrame, rows: DataFrame, threshold: float, workspace) ->
             yield batch.select([0, 1, 2, 3]).take(pa.array(keep, pa.int64()))
 
     met = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"])
-    return met.select("a1", "a2", "b1", "b2", "bag_a", "bag_b").mapInArrow(check, "a1 long, a2 long, b1 long, b2 long")
+    out = workspace.save(met.select("a1", "a2", "b1", "b2", "bag_a", "bag_b").mapInArrow(check, "a1 long, a2 long, b1 long, b2 long"), "pairs")
+    for done in (pairs, named, needed):
+        workspace.drop(done)
+    return out

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from corvane.llm import bloom, components, format_copies, mixing, near_duplicates, packing, pair_defects, pair_features, prefix_join, related_splits, split_overlap, subjects, trie_join, wordbag
+from corvane.llm import bloom, components, format_copies, mixing, near_duplicates, packing, pair_defects, pair_features, prefix_join, related_splits, split_overlap, subjects, wordbag
 from corvane.llm.canonical import canonical_ir, canonical_svg
 from corvane.llm.languages import asked_language, language_of
 from corvane.llm.names import author_key, source_key, split_name
@@ -232,41 +232,6 @@ def test_prefix_join_drops_no_alike_pair_whatever_the_block():
     assert sorted(map(sorted, held.values())) == [[(0, 0)], [(0, 1)], [(0, 2)], [(1, 0), (2, 1)], [(1, 0), (2, 2)], [(1, 1), (2, 2)]]
 
 
-def test_trie_walk_finds_all_within_budget():
-    rng = np.random.default_rng(5)
-    base = rng.integers(0, 2**63, 600, dtype=np.uint64)
-    flips = np.zeros(600, np.uint64)
-    for _ in range(3):
-        flips |= np.uint64(1) << rng.integers(0, 60, 600).astype(np.uint64)
-    a = np.sort(np.concatenate([base, base ^ flips, base[:5]]))
-
-    def within(x, y):
-        d = int(x) ^ int(y)
-        return all(bin(d >> (64 - to)).count("1") <= most for to, most in trie_join.BUDGET)
-
-    want = {(i, j) for i in range(len(a)) for j in range(i + 1, len(a)) if bin(int(a[i]) ^ int(a[j])).count("1") <= 9 and within(a[i], a[j])}
-    got = {tuple(sorted(map(int, p))) for i, j in trie_join.walk(a, a, True) for p in zip(i, j, strict=True)}
-    assert got == want
-    b = np.sort(base ^ flips)
-    c = np.sort(base)
-    pairs = {(int(i), int(j)) for x, y in trie_join.walk(c, b, False) for i, j in zip(x, y, strict=True)}
-    assert pairs == {(i, j) for i in range(len(c)) for j in range(len(b)) if within(c[i], b[j])}
-
-
-def test_trie_plan_meets_every_pair_of_blocks_once(monkeypatch):
-    monkeypatch.setattr(trie_join, "CHUNK", 10)
-    rows = trie_join.plan({(0, p): 5 + 20 * (p == 3) for p in range(8)}, 3)
-    tasks = {}
-    for word, p, block, _, task, _, _ in rows:
-        tasks.setdefault(task, []).append((p, block))
-    met = Counter(tuple(sorted(v * 2 if len(v) == 1 else v)) for v in tasks.values())
-    blocks = [(p, b) for p in range(8) for b in range(3 if p == 3 else 1)]
-    assert set(met) == {tuple(sorted((x, y))) for x in blocks for y in blocks if bin(x[0] ^ y[0]).count("1") <= trie_join.allowed(3)} and set(met.values()) == {1}
-
-
-# defects
-
-
 def test_languages():
     assert language_of("Zeichne ein Bild mit dem Titel") == "de" and language_of("") == "en"
     assert asked_language("Draw a chart. Labels: Spanish.") == "es"
