@@ -78,3 +78,14 @@ def test_manifests_start_jobs_once(spark, tmp_path):
     for _ in range(2):
         on_manifest(spark, f"{tmp_path}/in", f"{tmp_path}/cp", started.append, lambda m, e: rejected.append(e)).awaitTermination(60)
     assert started == [good] and sorted(rejected) == ["missing keys: created_at, dataset_id, files, record_count", "record_count must be positive"]
+
+
+def test_torn_documents_keep_labels_and_type():
+    torn = '{"diagram_type":"sequence","title":"T","nodes":[{"id":"a","kind":"circle","label":"A"},{"id":"b","kind":"diamond","label":"B"},{"id":"c","kind":"box","label":"C","size_hint":{"min_width":9}}],"edges":[{"id":"e1","source":"a","target":"b","label":"go"},{"id":"e2","sou'
+    svg, outcome = repaired(torn)
+    from corvane.kernels.parsing import parse
+
+    doc = parse(svg)
+    assert outcome == "diagram_ir" and doc["diagram_type"] == "sequence"
+    assert [n["label"] for n in doc["nodes"]] == ["A", "B", "C"]  # a drawing does not show kinds
+    assert [(e["source"], e["target"], e["label"]) for e in doc["edges"]] == [("a", "b", "go")]
