@@ -59,7 +59,7 @@ SEEDS = [
     {"title": "SVG generation pipeline", "type": "architecture", "labels": ["browser", "API gateway", "diagram model", "IR compiler", "SVG validator", "download"],
      "edges": [(0, 1, ""), (1, 2, ""), (2, 3, ""), (3, 4, ""), (4, 5, "")],
      "prompts": ["Create a left-to-right architecture diagram with boxes labeled browser, API gateway, diagram model, IR compiler, SVG validator, and download. Connect them in that order.",
-                 "Draw the svgen request path from browser to API gateway to diagram model to IR compiler to SVG validator to download."]},
+                 "Draw the request path from browser to API gateway to diagram model to IR compiler to SVG validator to download."]},
     {"title": "JWT auth sequence", "type": "sequence", "labels": ["client", "API gateway", "auth service", "token store", "protected API"],
      "edges": [(0, 1, "login"), (1, 2, "validate"), (2, 3, "issue token"), (2, 1, ""), (1, 4, "authorized request")],
      "prompts": ["Create a JWT auth flow with client, API gateway, auth service, token store, and protected API. Show login, validation, token issuing, and authorized request arrows.",

@@ -19,7 +19,7 @@ def table(spark, *rows):
 
 
 def test_nulls_become_defaults_and_bad_rows_are_dropped_or_raise(spark):
-    rows = table(spark, candidate("a", priority_score=None, fetch_status=None), candidate("b", source="scrape-live-web"), candidate("c", priority_score=1.5))
+    rows = table(spark, candidate("a", priority_score=None, fetch_status=None), candidate("b", source="elsewhere"), candidate("c", priority_score=1.5))
     assert [(r.candidate_id, r.priority_score, r.fetch_status, r.caption) for r in C.checked(rows).collect()] == [("a", 0.0, "pending", "")]
     with pytest.raises(Exception, match="invalid candidate b"):
         C.checked(rows, strict=True).collect()
@@ -96,7 +96,7 @@ def test_fallback_moves_only_one_row_and_only_if_it_must(spark):
 
 def test_scalars(spark):
     row = spark.range(1).select(
-        S.paper_id(F.lit("see arXiv:2605.18754v1.")).alias("p"), S.paper_month(F.lit("math/0601001v2")).alias("m"), S.without_version(F.lit("math/0601001v2")).alias("w"), S.slug(F.lit(" A  b-C! ")).alias("s"),
+        S.paper_id(F.lit("see arXiv:2411.04321v1.")).alias("p"), S.paper_month(F.lit("math/0601001v2")).alias("m"), S.without_version(F.lit("math/0601001v2")).alias("w"), S.slug(F.lit(" A  b-C! ")).alias("s"),
         S.collapse_spaces(F.lit("  a   b c "), 4).alias("c"), S.hex_hamming(F.lit("00ff"), F.lit("01fe")).alias("h"), S.word_count(F.lit(None).cast("string")).alias("n"), S.safe_rate(F.lit(1), F.lit(0)).alias("r"),
         S.stem(F.lit("a.b.svg")).alias("t"), S.svg_in_text(F.lit("x <SVG a='1'>\n</svg> y")).alias("g"), S.sharded_url(F.lit("A b.svg"), "https://h/x/").alias("u"), S.stable_id("p", F.lit("a"), F.lit(None).cast("string")).alias("i"),
     ).first()
@@ -104,7 +104,7 @@ def test_scalars(spark):
 
     digest = hashlib.md5(b"A b.svg").hexdigest()
     assert row.asDict() == {
-        "p": "2605.18754v1", "m": "legacy", "w": "0601001", "s": "a_b_c", "c": "a...", "h": 2, "n": 0, "r": 0.0, "t": "a.b", "g": "<SVG a='1'>\n</svg>",
+        "p": "2411.04321v1", "m": "legacy", "w": "0601001", "s": "a_b_c", "c": "a...", "h": 2, "n": 0, "r": 0.0, "t": "a.b", "g": "<SVG a='1'>\n</svg>",
         "u": f"https://h/x/{digest[0]}/{digest[:2]}/A%20b.svg", "i": "p-" + hashlib.sha256(b"a\nNone").hexdigest()[:20],
     }
 
