@@ -5,14 +5,16 @@ Two multisets of ``n`` and ``m`` words are alike by ``t`` only if they share
 near the front of both, so joining on the front words loses no pair, whatever the
 data. The order is by frequency, the rare first, which only keeps the lists short.
 
-Met pairs are held against a bound before the whole texts are: each word flips one
-bit of ``64 * BITS``, so two texts differ in as many words as bits at least. The
-bound, too, loses no pair. Lists are packed into tasks of about ``CHUNK`` rows; longer
+Met pairs are held against a bound before the whole texts are: each word adds one to
+one of ``32 * BITS`` counts modulo 4, written so that neighbours differ in one bit, so
+two texts differ in as many words as bits at least. The bound, too, loses no pair. Lists are packed into tasks of about ``CHUNK`` rows; longer
 ones are cut into blocks by hash and all pairs of blocks become tasks.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,12 +26,18 @@ from corvane.llm.wordbag import mix
 CHUNK = 100_000
 #: Words are counted, ranked and packed into tasks by the upper bits of their hash.
 BUCKETS = 1 << 16
-#: 64-bit words of a text's parities.
+#: 64-bit words of a text's counts.
 BITS = 4
+#: Words two texts may differ in up to which half as many counts tell most unlike texts apart.
+FEW = 46
 #: Classes that the order of words is taken from, about; any order is exact.
 ORDER_SAMPLE = 200_000
-#: Pairs compared at a time.
-FRONT = 1 << 17
+#: Pairs compared at a time; what they need stays in a core's cache.
+FRONT = 1 << 16
+#: Partners from which a row is compared in a block with others.
+WIDE = 1 << 11
+#: Kinds of rows in a block by how much longer the texts are that they may meet.
+REACHES = 8
 #: Records worked on at a time.
 STEP = 4000
 _SLACK = 1e-9
@@ -56,11 +64,21 @@ def _ordered(words: np.ndarray, n: np.ndarray, rank: np.ndarray) -> tuple[np.nda
     return both & np.uint64(0xFFFFFFFF), owner, np.arange(len(both)) - np.repeat(np.cumsum(n) - n, n)
 
 
-def parities(words: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-    """``BITS`` 64-bit words of each text; each of its words flips one bit."""
-    place = (mix(words.astype(np.uint64)) % np.uint64(64 * BITS)).astype(np.int64)
-    odd = np.bincount(owner * 64 * BITS + place, minlength=texts * 64 * BITS).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(texts, -1), axis=1).view(np.uint64)
+def residues(words: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """``BITS`` 64-bit words of each text: the upper, then the lower bits of its counts modulo 4, as Gray codes."""
+    counts = 32 * BITS
+    place = (mix(words.astype(np.uint64)) % np.uint64(counts)).astype(np.int64)
+    held = (np.bincount(owner * counts + place, minlength=texts * counts) & 3).astype(np.uint8).reshape(texts, counts)
+    return np.packbits(np.concatenate([held >> 1, (held ^ (held >> 1)) & 1], axis=1), axis=1).view(np.uint64)
+
+
+def halved(bits: np.ndarray) -> np.ndarray:
+    """Half as many counts, each the sum of two; ``bits`` holds the words of ``residues`` as rows."""
+    upper, lower = bits[: BITS // 2], bits[: BITS // 2] ^ bits[BITS // 2 :]
+    half = BITS // 4
+    ones = lower[:half] ^ lower[half:]
+    twos = upper[:half] ^ upper[half:] ^ (lower[:half] & lower[half:])
+    return np.concatenate([twos, twos ^ ones])
 
 
 def _histogram(classes: DataFrame, buckets) -> np.ndarray:
@@ -104,32 +122,79 @@ def placed(first: np.ndarray, blocks: np.ndarray, block: np.ndarray) -> tuple[np
     return at, task, np.where(x == y, 0, np.where(block[at] == x, 1, 2)).astype(np.int32)
 
 
+def _blocks(rows: np.ndarray, w: np.ndarray, n: np.ndarray, late: np.ndarray, lows: np.ndarray, highs: np.ndarray):
+    """Blocks of ``rows`` of one word with ranges that are nearly the same, and their range: ``rows, lo, hi``."""
+    kind = (late[rows] * REACHES).astype(np.int64)
+    order = np.lexsort((n[rows], kind, w[rows]))
+    rows, kind = rows[order], kind[order]
+    lows, highs = lows[rows], highs[rows]
+    new = (np.diff(w[rows], prepend=-1) != 0) | (np.diff(kind, prepend=-1) != 0)
+    edges = [*np.nonzero(new)[0].tolist(), len(rows)]
+    for start, end in itertools.pairwise(edges):
+        while start < end:
+            lo, width = int(lows[start]), int(highs[start] - lows[start])
+            upto = start + int(np.searchsorted(lows[start:end], lo + width // 4, "right"))
+            upto = min(upto, start + max(1, FRONT // width))
+            yield rows[start:upto], lo, int(highs[start:upto].max())
+            start = upto
+
+
 def met(short: dict, long: dict, threshold: float):
-    """Pairs (i, j) of rows of one word, the first text the shorter, that may be alike."""
+    """Pairs (i, j) of rows of one word, the first text the shorter, that may be alike; ``long`` is sorted by word and ``n``.
+
+    Words before the first shared one are lost to a pair, so a row whose word comes late
+    meets only texts hardly longer than its own: each row has a range of ``long``. Rows
+    of narrow ranges are spelled out, those of wide ones compared by blocks.
+    """
     n, m = short["n"], long["n"]
-    reach = (2 - threshold) / threshold
-    lows, highs = np.searchsorted(m, n, "left"), np.searchsorted(m, np.floor(n * reach + _SLACK), "right")
-    at = 0
-    while at < len(n):
-        lo = int(lows[at])
-        upto = min(len(n), at + max(1, min(128, FRONT // max(1, int(highs[at]) - lo))))
-        hi = int(highs[upto - 1])
-        for left in range(lo, hi, FRONT):
-            right = min(hi, left + FRONT)
-            most = np.minimum(255, (1 - threshold) * (n[upto - 1] + m[left:right]) + _SLACK).astype(np.uint8)
-            apart = np.bitwise_count(short["b"][0, at:upto, None] ^ long["b"][0, None, left:right])
-            apart += np.bitwise_count(short["b"][1, at:upto, None] ^ long["b"][1, None, left:right])
-            i, j = np.nonzero(apart <= most[None, :])
-            if len(i):
-                i, j = i + at, j + left
-                apart = np.bitwise_count(short["b"][:, i] ^ long["b"][:, j]).sum(axis=0, dtype=np.int64)
-                both = n[i] + m[j]
-                share = np.ceil(threshold / 2 * both - _SLACK)
-                keep = (apart <= (1 - threshold) * both + _SLACK) & (n[i] - short["at"][i] >= share) & (m[j] - long["at"][j] >= share)
-                a, b = short["m"][i], long["m"][j]
-                keep &= 2 * np.minimum(a, b) >= threshold * (a + b) - _SLACK
-                yield i[keep], j[keep]
-        at = upto
+    farthest = np.floor((n - short["at"]) * 2 / threshold - n + 1e-6).astype(np.int64)
+    key = (long["w"] << 31) | m
+    lows, highs = np.searchsorted(key, (short["w"] << 31) | n, "left"), np.searchsorted(key, (short["w"] << 31) | farthest, "right")
+    width = np.maximum(0, highs - lows)
+    most = (1 - threshold) * (n + m[np.maximum(highs, 1) - 1]) + _SLACK  # words that a pair of the row may differ in
+    planes = {few: (halved(short["b"]), halved(long["b"])) if few else (short["b"], long["b"]) for few in (True, False)}
+
+    def kept(i, j):
+        apart = np.bitwise_count(short["b"][:, i] ^ long["b"][:, j]).sum(axis=0, dtype=np.int64)
+        both = n[i] + m[j]
+        share = np.ceil(threshold / 2 * both - _SLACK)
+        keep = (n[i] <= m[j]) & (apart <= (1 - threshold) * both + _SLACK) & (n[i] - short["at"][i] >= share) & (m[j] - long["at"][j] >= share)
+        a, b = short["m"][i], long["m"][j]
+        keep &= 2 * np.minimum(a, b) >= threshold * (a + b) - _SLACK
+        return i[keep], j[keep]
+
+    for few, (left, right) in planes.items():
+        narrow = np.nonzero((width > 0) & (width < WIDE) & ((most <= FEW) == few))[0]
+        ends = np.cumsum(width[narrow])
+        at = 0
+        while at < len(narrow):
+            upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + FRONT + WIDE, "left"))
+            rows, wide = narrow[at:upto], width[narrow[at:upto]]
+            j = np.arange(wide.sum()) + np.repeat(lows[rows] - (np.cumsum(wide) - wide), wide)
+            apart = np.zeros(len(j), np.uint8)
+            for x, y in zip(left, right, strict=True):
+                apart += np.bitwise_count(np.repeat(x[rows], wide) ^ y[j])  # 256 becomes 0 and stays in
+            close = np.flatnonzero(apart <= np.repeat(np.minimum(255, most[rows]).astype(np.uint8), wide))
+            if len(close):
+                yield kept(np.repeat(rows, wide)[close], j[close])
+            at = upto
+
+    space = np.empty(FRONT, np.uint64), np.empty(FRONT, np.uint8), np.empty(FRONT, np.uint8)
+    late = (farthest / n - 1) / (2 / threshold - 2)
+    for rows, lo, hi in _blocks(np.nonzero(width >= WIDE)[0], short["w"], n, late, lows, highs):
+        step = FRONT // len(rows)
+        for at in range(lo, hi, step):
+            upto = min(hi, at + step)
+            odd, part, apart = (x[: len(rows) * (upto - at)].reshape(len(rows), -1) for x in space)
+            limit = (1 - threshold) * (n[rows[-1]] + m[at:upto]) + _SLACK
+            apart[:] = 0
+            for x, y in zip(*planes[bool(limit[-1] <= FEW)], strict=True):
+                np.bitwise_xor(x[rows, None], y[None, at:upto], out=odd)
+                np.bitwise_count(odd, out=part)
+                apart += part
+            close = np.flatnonzero(apart <= np.minimum(255, limit).astype(np.uint8))
+            if len(close):
+                yield kept(rows[close // (upto - at)], at + close % (upto - at))
 
 
 def _join_task(table: pa.Table, threshold: float, crossing: bool) -> pa.Table:
@@ -138,27 +203,25 @@ def _join_task(table: pa.Table, threshold: float, crossing: bool) -> pa.Table:
     keys = np.stack([table.column(c).to_numpy() for c in ("k1", "k2")])
     bits = np.stack([table.column(f"b{k}").to_numpy() for k in range(BITS)]).view(np.uint64)
     order = np.lexsort((col["n"], col["w"]))
-    starts = np.nonzero(np.diff(col["w"][order], prepend=-1))[0] if len(order) else []
+    col = {c: v[order].astype(np.int64) for c, v in col.items()}
+    keys, bits = keys[:, order], bits[:, order]
+    side, role, n = col["side"], col["role"], col["n"]
+    fronts = col["at"] <= n - np.ceil(threshold * n - _SLACK)
+    # a task holds whole lists or two blocks of one list, never both
+    sides = [(side == 0, side == 0)] if not side.any() else [(side == 1, side == 2), (side == 2, side == 1)]
     found = []
-    for lo, hi in zip(starts, [*starts[1:], len(order)], strict=True):
-        rows = order[lo:hi]
-        if hi - lo < 2:
+    # role 1 trains, 2 evaluates, 3 both
+    for first, one, two in [(p, x & ((role & p) > 0), y & ((role & q) > 0)) for x, y in sides for p, q in ([(1, 2), (2, 1)] if crossing else [(3, 3)])]:
+        s, g = np.nonzero(one & fronts)[0], np.nonzero(two)[0]
+        if not len(s) or not len(g):
             continue
-        n, side, role = col["n"][rows].astype(np.int64), col["side"][rows], col["role"][rows]
-        fronts = col["at"][rows] <= n - np.ceil(threshold * n - _SLACK)
-        sides = [(side == 0, side == 0)] if not side.any() else [(side == 1, side == 2), (side == 2, side == 1)]
-        # role 1 trains, 2 evaluates, 3 both
-        for first, one, two in [(p, x & ((role & p) > 0), y & ((role & q) > 0)) for x, y in sides for p, q in ([(1, 2), (2, 1)] if crossing else [(3, 3)])]:
-            s, g = rows[one & fronts], rows[two]
-            if not len(s) or not len(g):
-                continue
-            short, long = ({"n": col["n"][r].astype(np.int64), "m": col["m"][r].astype(np.int64), "at": col["at"][r], "b": np.ascontiguousarray(bits[:, r])} for r in (s, g))
-            for i, j in met(short, long, threshold):
-                i, j = s[i], g[j]
-                swap = np.full(len(i), first == 1) if crossing else (keys[0, i] > keys[0, j]) | ((keys[0, i] == keys[0, j]) & (keys[1, i] > keys[1, j]))
-                i, j = np.where(swap, j, i), np.where(swap, i, j)
-                pair = np.concatenate([keys[:, i], keys[:, j]])
-                found.append(pair[:, (pair[0] != pair[2]) | (pair[1] != pair[3])])
+        short, long = ({c: col[c][r] for c in ("w", "n", "m", "at")} | {"b": np.ascontiguousarray(bits[:, r])} for r in (s, g))
+        for i, j in met(short, long, threshold):
+            i, j = s[i], g[j]
+            swap = np.full(len(i), first == 1) if crossing else (keys[0, i] > keys[0, j]) | ((keys[0, i] == keys[0, j]) & (keys[1, i] > keys[1, j]))
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            pair = np.concatenate([keys[:, i], keys[:, j]])
+            found.append(pair[:, (pair[0] != pair[2]) | (pair[1] != pair[3])])
     rows = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((4, 0), np.int64)
     return pa.table({name: pa.array(rows[k]) for k, name in enumerate(("a1", "a2", "b1", "b2"))})
 
@@ -192,7 +255,7 @@ def candidates(classes: DataFrame, total: int, threshold: float, crossing: bool
                 k1, k2, m, role = (part.column(k).to_numpy() for k in (0, 1, 3, 4))
                 words, n = _words(part.column(2))
                 renamed, owner, at = _ordered(words, n, ranks.value)
-                bits = parities(renamed, owner, len(n)).view(np.int64)
+                bits = residues(renamed, owner, len(n)).view(np.int64)
                 kept = np.nonzero(at < prefix(n, threshold)[owner])[0]
                 bucket = (renamed[kept] >> np.uint64(16)).astype(np.int64)
                 block = (mix(k1.view(np.uint64)[owner[kept]]) % blocks[bucket].astype(np.uint64)).astype(np.int64)

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -222,6 +223,54 @@ def test_overlaps_at_the_threshold_are_all_found(spark):
     assert sum(r.near_records for r in split_overlap.overlap_counts(records(spark, *rows)).collect()) == len(want)
 
 
+def one_task(seed=5, texts=1500):
+    """Texts of words of a small vocabulary, every tenth a near copy of another, as the rows of one task."""
+    rng = np.random.default_rng(seed)
+    common = np.sort(rng.choice(1 << 32, 600, replace=False).astype(np.uint32))
+    held = []
+    for k in range(texts):
+        if k % 10:
+            held.append(rng.choice(common, rng.integers(60, 160), replace=False))
+        else:
+            text = held[int(rng.integers(len(held)))] if held else common[:80]
+            held.append(np.unique(np.concatenate([text[int(len(text) * rng.uniform(0, 0.22)) :], rng.choice(common, rng.integers(0, 12), replace=False)])))
+    n = np.array([len(x) for x in held])
+    words, owner, at = prefix_join._ordered(np.concatenate(held), n, np.arange(prefix_join.BUCKETS, dtype=np.uint32))
+    kept = np.nonzero(at < prefix_join.prefix(n, 0.8)[owner])[0]
+    mine, bits = owner[kept], prefix_join.residues(words, owner, texts).view(np.int64)
+    ones = np.ones(len(kept), np.int32)
+    columns = {"side": 0 * ones, "w": words[kept].astype(np.int64), "n": n[mine].astype(np.int32), "at": at[kept].astype(np.int32), "m": ones, "role": 3 * ones, "k1": mine, "k2": 0 * mine}
+    shared = np.zeros((texts, len(common)), np.float32)
+    shared[np.repeat(np.arange(texts), n), np.searchsorted(common, np.concatenate(held))] = 1
+    alike = 2 * (shared @ shared.T) >= 0.8 * (n[:, None] + n[None, :]) - 1e-9
+    return pa.table(columns | {f"b{k}": bits[mine, k] for k in range(prefix_join.BITS)}), {(i, j) for i, j in np.argwhere(alike).tolist() if i < j}
+
+
+@pytest.mark.parametrize(("wide", "front"), [(1 << 30, 1 << 16), (1, 1 << 16), (1, 300), (40, 3000)])
+def test_rows_spelled_out_and_rows_in_blocks_meet_all_alike_texts(monkeypatch, wide, front):
+    monkeypatch.setattr(prefix_join, "WIDE", wide)
+    monkeypatch.setattr(prefix_join, "FRONT", front)
+    table, want = one_task()
+    found = prefix_join._join_task(table, 0.8, False)
+    assert len(want) > 100 and want <= set(zip(found.column("a1").to_pylist(), found.column("b1").to_pylist(), strict=True))
+
+
+@pytest.mark.parametrize("wide", [1 << 30, 64])
+def test_words_compared_stay_few(monkeypatch, wide):
+    """A row whose word comes late meets hardly longer texts only, and what the first bits let pass is little."""
+    monkeypatch.setattr(prefix_join, "WIDE", wide, raising=False)
+    table, count, seen = one_task()[0], np.bitwise_count, [0]
+
+    def counted(x, *args, **kw):
+        seen[0] += x.size
+        return count(x, *args, **kw)
+
+    monkeypatch.setattr(prefix_join.np, "bitwise_count", counted)
+    prefix_join._join_task(table, 0.8, False)
+    lists = np.unique(table.column("w").to_numpy(), return_counts=True)[1]
+    assert seen[0] < 0.8 * (lists**2).sum()
+
+
 def test_prefix_join_drops_no_alike_pair_whatever_the_block():
     first, blocks = prefix_join.plan(np.array([30, 0, 5, 250_000, 70_000, 50_000]))
     assert blocks.tolist() == [1, 1, 1, 3, 1, 1] and first.tolist() == [0, 0, 0, 1, 7, 8]
